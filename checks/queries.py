@@ -61,7 +61,7 @@ def p1(spark, sf):
 def p2(spark, sf):
     v = F.col("value")
     return log_lines(spark, sf).select(
-        "line_no", P.is_blank(v).alias("blank"), P.is_header(v).alias("header")
+        "line_no", P.is_blank(v).alias("blank"), P.is_header("value").alias("header")
     )
 
 
@@ -186,10 +186,10 @@ def p14(spark, sf):
     return x.select(
         "event_id",
         *[
-            (round_exact(F.col(c), d) + F.lit(0.0)).alias(f"{c}{d}")
+            (round_exact(c, d) + F.lit(0.0)).alias(f"{c}{d}")
             for c, d in (("a", 1), ("a", 3), ("b", 2), ("b", 4))
         ],
-        labels.one_decimal(F.col("c")).alias("shown"),
+        labels.one_decimal("c").alias("shown"),
     )
 
 

@@ -47,6 +47,6 @@ def with_megabytes(df: DataFrame, counters: dict[str, tuple[str, int]]) -> DataF
     }
     return (
         df.withColumns(raw)
-        .withColumns({out: round_exact(F.col(f"_{out}"), d) for out, (_, d) in counters.items()})
+        .withColumns({out: round_exact(f"_{out}", d) for out, (_, d) in counters.items()})
         .drop(*raw)
     )

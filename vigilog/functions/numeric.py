@@ -6,32 +6,34 @@ from pyspark.sql import functions as F
 _SPLITTER = 134217729.0  # 2**27 + 1
 
 
-def round_exact(x: Column, digits: int, ties: str = "even") -> Column:
-    """Round the exact binary value of ``x``; ties to even, or ``"away"`` from zero.
+def round_exact(name: str, digits: int, ties: str = "even") -> Column:
+    """Round the exact binary value of a column; ties to even or ``"away"`` from zero.
 
     Spark's ``round`` works on the shortest decimal text, so 2.675 becomes
     2.68; the stored double lies below the tie and has to give 2.67. The
     product with 10**digits is kept as ``p + err`` without loss (splitting
-    ``x`` into two halves), which decides ties exactly and stays in codegen.
-    Pass a plain column: the expression mentions ``x`` many times.
+    the value into two halves), which decides ties exactly and stays in codegen.
     """
-    scale = float(10**digits)
-    a = F.abs(x)
-    t = a * F.lit(_SPLITTER)
-    hi = t - (t - a)
-    lo = a - hi
-    p = a * F.lit(scale)
-    err = (hi * scale - p) + lo * scale
-    k = F.floor(p)
-    half = (p - k) - F.lit(0.5)
-    tie_up = F.lit(True) if ties == "away" else k % 2 == 1
-    up = (half > 0) | ((half == 0) & ((err > 0) | ((err == 0) & tie_up)))
-    r = (k + F.when(up, 1).otherwise(0)) / F.lit(scale)
+    return F.expr(round_exact_sql(name, digits, ties))
+
+
+def round_exact_sql(x: str, digits: int, ties: str = "even") -> str:
+    """SQL text of ``round_exact``; ``x`` is a column name, it occurs many times."""
+    scale = f"{10**digits}D"
+    a = f"abs({x})"
+    t = f"({a} * {_SPLITTER}D)"
+    hi = f"({t} - ({t} - {a}))"
+    lo = f"({a} - {hi})"
+    p = f"({a} * {scale})"
+    err = f"(({hi} * {scale} - {p}) + {lo} * {scale})"
+    k = f"floor({p})"
+    half = f"({p} - {k} - 0.5D)"
+    tie_up = "true" if ties == "away" else f"{k} % 2 = 1"
+    up = f"({half} > 0 or ({half} = 0 and ({err} > 0 or ({err} = 0 and {tie_up}))))"
+    size = f"(({k} + case when {up} then 1 else 0 end) / {scale})"
     return (
-        F.when(F.isnan(x), x)
-        .when(a >= F.lit(1e14), F.round(x, digits))
-        .when(x < 0, -r)
-        .otherwise(r)
+        f"case when isnan({x}) then {x} when {a} >= 1e14D then round({x}, {digits}) "
+        f"when {x} < 0 then -{size} else {size} end"
     )
 
 
@@ -39,3 +41,49 @@ def float_text(x: Column) -> Column:
     """Decimal text of a double; plain digits where Spark would print ``1.0E7``."""
     plain = F.regexp_replace(x.cast("decimal(38,4)").cast("string"), r"(\.\d+?)0+$", "$1")
     return F.when((F.abs(x) >= 1e7) & (F.abs(x) < 1e16), plain).otherwise(x.cast("string"))
+
+
+def mean_sql(items: str, usual: int) -> str:
+    """SQL text: mean of the array ``items`` (no nulls), summed in ``sum_sql`` order."""
+    return f"try_divide({sum_sql(items, usual)}, size({items}))"
+
+
+def deviation_sql(items: str, mean: str, usual: int) -> str:
+    """SQL text: population deviation of ``items`` around the column ``mean``."""
+    squares = sum_sql(items, usual, "({0} - " + mean + ") * ({0} - " + mean + ")")
+    return f"sqrt(try_divide({squares}, size({items})))"
+
+
+def sum_sql(items: str, usual: int, term: str = "{0}") -> str:
+    """SQL text: sum of ``term`` over an array, in the order numpy adds.
+
+    Running-variance formulas leave errors of some 1e-16 that decide readings
+    lying exactly on the threshold, so the order of additions is fixed here:
+    eight interleaved partial sums, joined in pairs, then the rest one by one.
+    Arrays of the ``usual`` length are spelled out, which stays in generated
+    code; the shorter ones at the start of a stream go through lambdas.
+    """
+    if not 1 <= usual <= 128:
+        raise ValueError("windows of 1 to 128 readings are supported")
+
+    def joined(parts: list[str]) -> str:
+        return "((({0} + {1}) + ({2} + {3})) + (({4} + {5}) + ({6} + {7})))".format(*parts)
+
+    at = [f"({term.format(f'get({items}, {i})')})" for i in range(usual)]
+    even = usual // 8 * 8
+    if even:
+        total = joined(["(" + " + ".join(at[j:even:8]) + ")" for j in range(8)])
+        total = " + ".join([total, *at[even:]])
+    else:
+        total = " + ".join(at)
+    body = "(size(t) div 8 * 8)"
+    lanes = [
+        f"aggregate(filter(t, (x, i) -> i % 8 = {j} and i < {body}), 0D, (a, x) -> a + x)"
+        for j in range(8)
+    ]
+    start = f"case when size(t) < 8 then 0D else {joined(lanes)} end"
+    rest = f"aggregate(filter(t, (x, i) -> i >= {body}), {start}, (a, x) -> a + x)"
+    terms = f"transform({items}, y -> {term.format('y')})"
+    # ``transform`` over a single-item array names the array of terms ``t``.
+    short = f"get(transform(array({terms}), t -> {rest}), 0)"
+    return f"(case when size({items}) = {usual} then {total} else {short} end)"

@@ -7,7 +7,7 @@ its captures, joined by a separator, and the rest is array access.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.functions.numeric import round_exact
+from vigilog.functions.numeric import round_exact_sql
 from vigilog.schema import ENTRY_COLUMNS
 
 # The line format. (?U) makes \w, \d and \s cover Unicode.
@@ -46,56 +46,81 @@ _REPLACEMENT = _SEP.join(f"${i}" for i in range(1, len(CAPTURES) + 1))
 PARSED, SKIPPED, ERROR = "parsed", "skipped", "error"
 
 
-def is_blank(line: Column) -> Column:
-    return ~line.rlike(r"(?U)\S")
-
-
-def is_header(line: Column) -> Column:
-    """Header pattern anywhere in the line; literal searches, regex only if needed."""
-    hit = line.contains("PID") & line.rlike(HEADER_PID)
-    for text in HEADER_TEXTS:
-        hit = line.contains(text) | hit
-    return hit
+def _header_sql(line: str) -> str:
+    texts = [f"contains({line}, '{t}')" for t in HEADER_TEXTS]
+    pid = f"(contains({line}, 'PID') and {line} rlike r'{HEADER_PID}')"
+    return "(" + " or ".join([*texts, pid]) + ")"
 
 
-def is_replay_noise(line: Column) -> Column:
-    """Lines a log replay never sends: blank, ``===`` or the generator banner."""
-    return is_blank(line) | line.contains("===") | line.contains("Log generator")
-
-
-def captures(line: Column) -> Column:
-    """The 13 captured texts as an array, or null where the line is no entry.
+def _captures_sql(line: str) -> str:
+    """The 13 captured texts as an array; null for a header, other sizes for no match.
 
     A line that itself holds the separator takes the slower way, one extraction
     per capture.
     """
-    pattern = "(?U)" + LINE_PATTERN
-    parts = F.split(F.regexp_replace(line, _REWRITE, _REPLACEMENT), _SEP)
-    one_by_one = F.array(
-        *[F.regexp_extract(line, pattern, i + 1) for i in range(len(CAPTURES))]
+    pattern = f"r'(?U){LINE_PATTERN}'"
+    parts = f"split(regexp_replace({line}, r'{_REWRITE}', '{_REPLACEMENT}'), '{_SEP}')"
+    single = ", ".join(f"regexp_extract({line}, {pattern}, {i + 1})" for i in range(len(CAPTURES)))
+    return (
+        f"case when {_header_sql(line)} then null when contains({line}, '{_SEP}') "
+        f"then case when {line} rlike {pattern} then array({single}) end else {parts} end"
     )
-    exact = F.when(line.rlike(pattern), one_by_one)
-    found = F.when(line.contains(_SEP), exact).otherwise(parts)
-    return F.when(~is_header(line), found)
 
 
-def core_values(cpu: Column) -> Column:
-    """``12.3,8.1`` -> array of doubles; an invalid number becomes a null element."""
-    tight = F.regexp_replace(cpu, r"(?U)^\s+|\s+$|\s*(,)\s*", "$1")
-    clean = F.when(cpu.rlike(r"(?U)\s"), tight).otherwise(cpu)
-    return F.array_remove(F.split(clean, ","), "").try_cast("array<double>")
+def _capture(name: str) -> str:
+    return f"get(_m, {CAPTURES.index(name)})"
 
 
-def core_mean(cores: Column) -> Column:
-    total = F.aggregate(cores, F.lit(0.0), lambda acc, v: acc + v)
-    return F.try_divide(total, F.size(cores))
+# 12.3,8.1 -> array of doubles; blanks around a number and empty items are dropped,
+# an invalid number becomes a null element.
+_CPU = _capture("cpu")
+_CORES = (
+    f"try_cast(array_remove(split(case when {_CPU} rlike r'(?U)\\s' "
+    f"then regexp_replace({_CPU}, r'(?U)^\\s+|\\s+$|\\s*(,)\\s*', '$1') else {_CPU} end, ','), '') "
+    "as array<double>)"
+)
+_MEAN = "try_divide(aggregate(_cores, 0D, (acc, v) -> acc + v), size(_cores))"
+_NUMBERS = {
+    "mem_used_pct": "mem_pct", "mem_avail_mb": "mem_avail",
+    "disk_read_mb": "disk_r", "disk_write_mb": "disk_w",
+    "net_sent_mb": "net_s", "net_recv_mb": "net_r", "top_proc_cpu": "proc_cpu",
+}
+_VALID = " and ".join(
+    f"{c} is not null" for c in ("_mean", "_top_pid", *[f"_{c}" for c in _NUMBERS])
+)
+_STATE = f"case when _m is null then '{SKIPPED}' when {_VALID} then '{PARSED}' else '{ERROR}' end"
+_FIELDS = {
+    "timestamp": _capture("timestamp"),
+    "level": _capture("level"),
+    "cpu_cores": "_cores",
+    "cpu_max_pct": "array_max(_cores)",
+    "cpu_avg_pct": round_exact_sql("_mean", 2),
+    **{c: f"_{c}" for c in _NUMBERS},
+    "top_pid": "_top_pid",
+    "top_proc_name": _capture("proc_name"),
+    "status": _capture("status"),
+    "is_anomaly": "cast(_type <> 'none' as int)",
+    "anomaly_type": "_type",
+}
 
 
-def anomaly_type(status: Column) -> Column:
+def is_blank(line: Column) -> Column:
+    return ~line.rlike(r"(?U)\S")
+
+
+def is_header(line: str) -> Column:
+    """Header pattern anywhere in the line; literal searches, a regex only where needed."""
+    return F.expr(_header_sql(line))
+
+
+def is_replay_noise(line: Column) -> Column:
+    """Lines a log replay never sends: blank, ``===`` or the generator banner."""
+    return is_blank(line) | line.contains("===") | line.contains("Log generator")
+
+
+def anomaly_type_sql(status: str) -> str:
     """Known anomaly type named in the status, else ``none``."""
-    return F.coalesce(
-        F.nullif(F.regexp_extract(status, TYPE_PATTERN, 1), F.lit("")), F.lit("none")
-    )
+    return f"coalesce(nullif(regexp_extract({status}, '{TYPE_PATTERN}', 1), ''), 'none')"
 
 
 def with_parse(df: DataFrame, line: str = "value", status: str = "parse_status") -> DataFrame:
@@ -109,51 +134,25 @@ def with_parse(df: DataFrame, line: str = "value", status: str = "parse_status")
     The final ``inline`` is a barrier: a filter on the status is not pushed
     below it, which would run the pattern a second time for every line.
     """
-    n = len(CAPTURES)
-    matched = F.when(F.size("_parts") == n, F.col("_parts"))
-    raw = {name: F.get(F.col("_m"), F.lit(i)) for i, name in enumerate(CAPTURES)}
-    number = {
-        "mem_used_pct": "mem_pct", "mem_avail_mb": "mem_avail",
-        "disk_read_mb": "disk_r", "disk_write_mb": "disk_w",
-        "net_sent_mb": "net_s", "net_recv_mb": "net_r", "top_proc_cpu": "proc_cpu",
-    }
-    fields = {
-        "timestamp": raw["timestamp"],
-        "level": raw["level"],
-        "cpu_cores": F.col("_cores"),
-        "cpu_max_pct": F.array_max("_cores"),
-        "cpu_avg_pct": round_exact(F.col("_mean"), 2),
-        **{out: F.col("_" + out) for out in number},
-        "top_pid": F.col("_top_pid"),
-        "top_proc_name": raw["proc_name"],
-        "status": raw["status"],
-        "is_anomaly": (F.col("_type") != "none").cast("int"),
-        "anomaly_type": F.col("_type"),
-    }
-    valid = F.col("_mean").isNotNull() & F.col("_top_pid").isNotNull()
-    for out in number:
-        valid = valid & F.col("_" + out).isNotNull()
-    state = F.when(F.col("_m").isNull(), SKIPPED).when(valid, PARSED).otherwise(ERROR)
     keep = [F.col(c) for c in df.columns if c not in (*ENTRY_COLUMNS, status)]
-    staged = (
-        df.withColumn("_parts", captures(F.col(line)))
-        .withColumn("_m", matched)
-        .withColumns(
-            {
-                "_cores": core_values(raw["cpu"]),
-                "_type": anomaly_type(raw["status"]),
-                "_top_pid": raw["pid"].try_cast("bigint"),
-                **{"_" + out: raw[src].try_cast("double") for out, src in number.items()},
-            }
-        )
-        .withColumn("_mean", core_mean(F.col("_cores")))
-        .withColumn("_state", state)
+    numbers = [f"try_cast({_capture(src)} as double) as _{c}" for c, src in _NUMBERS.items()]
+    record = ", ".join(
+        f"'{c}', case when _state = '{PARSED}' then {_FIELDS[c]} end" for c in ENTRY_COLUMNS
     )
-    ok = F.col("_state") == PARSED
-    record = F.struct(
-        *[F.when(ok, fields[c]).alias(c) for c in ENTRY_COLUMNS], F.col("_state").alias(status)
+    return (
+        df.select(*keep, F.expr(f"{_captures_sql(line)} as _parts"))
+        .selectExpr("*", f"case when size(_parts) = {len(CAPTURES)} then _parts end as _m")
+        .selectExpr(
+            "*",
+            f"{_CORES} as _cores",
+            f"{anomaly_type_sql(_capture('status'))} as _type",
+            f"try_cast({_capture('pid')} as bigint) as _top_pid",
+            *numbers,
+        )
+        .selectExpr("*", f"{_MEAN} as _mean")
+        .selectExpr("*", f"{_STATE} as _state")
+        .select(*keep, F.expr(f"inline(array(named_struct({record}, '{status}', _state)))"))
     )
-    return staged.select(*keep, F.inline(F.array(record)))
 
 
 def entries(parsed: DataFrame, status: str = "parse_status") -> DataFrame:

@@ -288,5 +288,5 @@ def with_verdict(scored: DataFrame, offset: float) -> DataFrame:
             ((F.col("iso_anomaly") == 1) | (F.col("smart_alert") == 1)).cast("int"),
         )
         .withColumn("label", verdict(F.col("is_anomaly")))
-        .withColumn("score", round_exact(F.col("score"), 4))
+        .withColumn("score", round_exact("score", 4))
     )

@@ -51,6 +51,6 @@ def inject_anomalies(
         drawn,
         F.col("_hit") & F.col("_cpu"),
         F.col("_hit") & ~F.col("_cpu"),
-        round_exact(F.col("_cv"), 1),
-        round_exact(F.col("_mv"), 1),
+        round_exact("_cv", 1),
+        round_exact("_mv", 1),
     ).drop("_hit", "_cpu", "_cv", "_mv")

@@ -59,6 +59,6 @@ def hit_tag(label: Column) -> Column:
     return F.when(label == 1, "TP").otherwise("FP")
 
 
-def one_decimal(x: Column) -> Column:
+def one_decimal(name: str) -> Column:
     """Display text with one decimal (ties away from zero), a dash where missing."""
-    return F.coalesce(float_text(round_exact(x, 1, ties="away")), F.lit("—"))
+    return F.coalesce(float_text(round_exact(name, 1, ties="away")), F.lit("—"))

@@ -8,7 +8,7 @@ still spreads over all tasks.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilog.functions.numeric import float_text, round_exact
+from vigilog.functions.numeric import deviation_sql, float_text, mean_sql, round_exact
 from vigilog.schema import (
     MIN_HISTORY, ROLLING_WINDOW, STATIC_CPU, STATIC_MEM, STD_FLOOR, Z_THRESHOLD,
 )
@@ -71,21 +71,27 @@ def with_baseline(
         .repartition(*home)
     )
 
-    frame = Window.partitionBy(*home).orderBy(order_col).rowsBetween(-window, -1)
+    over = (
+        f"over (partition by {', '.join(f'`{c}`' for c in home)} order by `{order_col}` "
+        f"rows between {window} preceding and 1 preceding)"
+    )
+    kept = [f"`{c}`" for c in names]
     return (
         placed.withColumn("_copy", F.lit(False))
         .unionByName(halo)
-        .withColumns(
-            {
-                "history": F.count(F.lit(1)).over(frame),
-                "cpu_mean": F.avg(CPU).over(frame),
-                "cpu_std": F.stddev_pop(CPU).over(frame),
-                "mem_mean": F.avg(MEM).over(frame),
-                "mem_std": F.stddev_pop(MEM).over(frame),
-            }
+        .selectExpr(
+            *kept, "_copy",
+            f"collect_list({CPU}) {over} as _cpu", f"collect_list({MEM}) {over} as _mem",
+        )
+        .where("not _copy")
+        .selectExpr(
+            *kept, "_cpu", "_mem", "cast(size(_cpu) as bigint) as history",
+            f"{mean_sql('_cpu', window)} as cpu_mean", f"{mean_sql('_mem', window)} as mem_mean",
+        )
+        .selectExpr(
+            *kept, "history", "cpu_mean", f"{deviation_sql('_cpu', 'cpu_mean', window)} as cpu_std",
+            "mem_mean", f"{deviation_sql('_mem', 'mem_mean', window)} as mem_std",
         )
-        .where(~F.col("_copy"))
-        .drop("_copy", "_block")
     )
 
 
@@ -93,15 +99,17 @@ def _without(names: list[str], key: list[str], order_col: str) -> list[str]:
     return [c for c in names if c not in key and c != order_col]
 
 
-def _check(value: str, mean: str, std: str) -> dict[str, Column]:
-    """above, z, mean, std of one reading; unrounded."""
-    enough = F.col("history") >= MIN_HISTORY
-    flat = F.col(std) < STD_FLOOR
-    z = F.try_divide(F.col(value) - F.col(mean), F.col(std))
+def _check(metric: str, value: str) -> dict[str, Column]:
+    """z, mean and std of one reading; unrounded."""
+    enough = f"history >= {MIN_HISTORY}"
+    mean, std = f"{metric}_mean", f"{metric}_std"
     return {
-        "z": F.when(enough & ~flat, z).otherwise(0.0),
-        "mean": F.when(enough, F.col(mean)).otherwise(F.col(value)),
-        "std": F.when(enough, F.col(std)).otherwise(0.0),
+        f"{metric}_z": F.expr(
+            f"case when {enough} and not {std} < {STD_FLOOR:.9f}D "
+            f"then try_divide({value} - {mean}, {std}) else 0D end"
+        ),
+        mean: F.expr(f"case when {enough} then {mean} else {value} end"),
+        std: F.expr(f"case when {enough} then {std} else 0D end"),
     }
 
 
@@ -111,15 +119,10 @@ def with_zscores(df: DataFrame) -> DataFrame:
     Fewer than 5 earlier readings: no alert, mean is the value itself. Spread
     below 1e-6: no alert. Otherwise an alert if z > 2, upper tail only.
     """
-    cpu = _check(CPU, "cpu_mean", "cpu_std")
-    mem = _check(MEM, "mem_mean", "mem_std")
-    checked = df.withColumns(
-        {f"cpu_{k}": c for k, c in cpu.items()} | {f"mem_{k}": c for k, c in mem.items()}
-    )
     # Spark orders NaN above every number; a NaN score is no alert.
-    return checked.withColumns(
+    return df.withColumns({**_check("cpu", CPU), **_check("mem", MEM)}).withColumns(
         {
-            f"{m}_above": (F.col(f"{m}_z") > Z_THRESHOLD) & ~F.isnan(f"{m}_z")
+            f"{m}_above": F.expr(f"{m}_z > {Z_THRESHOLD}D and not isnan({m}_z)")
             for m in ("cpu", "mem")
         }
     )
@@ -129,7 +132,7 @@ def with_rounded_check(df: DataFrame) -> DataFrame:
     """Add the displayed figures: z to 3, mean and std to 2 decimals."""
     return df.withColumns(
         {
-            f"{m}_{k}_shown": round_exact(F.col(f"{m}_{k}"), digits)
+            f"{m}_{k}_shown": round_exact(f"{m}_{k}", digits)
             for m in ("cpu", "mem")
             for k, digits in (("z", 3), ("mean", 2), ("std", 2))
         }
@@ -148,7 +151,7 @@ def _reason(label: str, metric: str, value: str) -> Column:
 
 def with_smart_alert(df: DataFrame, reason: bool = True) -> DataFrame:
     """Add ``smart_alert`` (CPU or memory above its baseline) and ``smart_reason``."""
-    out = df.withColumn("smart_alert", (F.col("cpu_above") | F.col("mem_above")).cast("int"))
+    out = df.withColumn("smart_alert", F.expr("cast(cpu_above or mem_above as int)"))
     if not reason:
         return out
     shown = with_rounded_check(out)
@@ -163,11 +166,10 @@ def with_smart_alert(df: DataFrame, reason: bool = True) -> DataFrame:
 
 def with_static_alert(df: DataFrame, cpu: float = STATIC_CPU, mem: float = STATIC_MEM) -> DataFrame:
     """Add ``static_alert``: a reading over a fixed threshold."""
-    def over(name: str, limit: float) -> Column:
-        c = F.col(name)
-        return F.coalesce((c > limit) & ~F.isnan(c), F.lit(False))
+    def over(name: str, limit: float) -> str:
+        return f"coalesce({name} > {float(limit)!r}D and not isnan({name}), false)"
 
-    return df.withColumn("static_alert", (over(CPU, cpu) | over(MEM, mem)).cast("int"))
+    return df.withColumn("static_alert", F.expr(f"cast({over(CPU, cpu)} or {over(MEM, mem)} as int)"))
 
 
 def smart_alerts(df: DataFrame, reason: bool = True, **baseline) -> DataFrame:

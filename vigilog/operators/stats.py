@@ -84,9 +84,9 @@ def stats_summary(
         "total",
         (F.col("total") - F.col("anomalies")).alias("normals"),
         "anomalies",
-        F.coalesce(round_exact(F.col("_pct"), 1), F.lit(0.0)).alias("anomaly_pct"),
+        F.coalesce(round_exact("_pct", 1), F.lit(0.0)).alias("anomaly_pct"),
         *[
-            round_exact(F.col(f"_{c}"), 1).alias(c)
+            round_exact(f"_{c}", 1).alias(c)
             for c in ("cpu_avg", "cpu_max", "mem_avg", "mem_max")
         ],
         "anomaly_types",
