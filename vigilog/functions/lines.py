@@ -3,40 +3,36 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.functions.numeric import float_text, round_exact
+from vigilog.functions.numeric import float_text_sql, round_exact
 
 
 def severity(status: Column) -> Column:
     return F.when(status == "NORMAL", "INFO").otherwise("WARNING")
 
 
-def log_line(
-    timestamp: Column, level: Column, cpu_cores: Column, mem_used_pct: Column,
-    mem_avail_mb: Column, disk_read_mb: Column, disk_write_mb: Column,
-    net_sent_mb: Column, net_recv_mb: Column, top_proc: Column, status: Column,
-) -> Column:
-    """The text that ``functions.parse`` reads back."""
-    cores = F.array_join(F.transform(cpu_cores, float_text), ",")
+_NUMBERS = [
+    ("] MEM_PCT:", "mem_used_pct"), (" MEM_AVAIL:", "mem_avail_mb"),
+    ("MB DISK_R:", "disk_read_mb"), ("MB DISK_W:", "disk_write_mb"),
+    ("MB NET_S:", "net_sent_mb"), ("MB NET_R:", "net_recv_mb"),
+]
+
+
+def log_line() -> Column:
+    """The text that ``functions.parse`` reads back, from columns named as in an entry.
+
+    ``top_proc`` is the text after ``TOP_PROC:``; the level follows the status.
+    """
+    cores = f"array_join(transform(cpu_cores, x -> {float_text_sql('x')}), ',')"
+    numbers = ", ".join(f"'{label}', {float_text_sql(c)}" for label, c in _NUMBERS)
     return F.concat(
-        timestamp, F.lit(" | "), F.rpad(level, 8, " "), F.lit(" | CPU:["), cores,
-        F.lit("] MEM_PCT:"), float_text(mem_used_pct),
-        F.lit(" MEM_AVAIL:"), float_text(mem_avail_mb),
-        F.lit("MB DISK_R:"), float_text(disk_read_mb),
-        F.lit("MB DISK_W:"), float_text(disk_write_mb),
-        F.lit("MB NET_S:"), float_text(net_sent_mb),
-        F.lit("MB NET_R:"), float_text(net_recv_mb),
-        F.lit("MB TOP_PROC:"), top_proc, F.lit(" STATUS:"), status,
+        F.col("timestamp"), F.lit(" | "), F.rpad(severity(F.col("status")), 8, " "),
+        F.expr(f"concat(' | CPU:[', {cores}, {numbers}, 'MB TOP_PROC:', top_proc, ' STATUS:', status)"),
     )
 
 
 def metric_lines(metrics: DataFrame) -> DataFrame:
-    """Metrics table (``ts`` or ``timestamp``, readings, status) -> ``line_no, value``."""
-    names = [
-        "cpu_cores", "mem_used_pct", "mem_avail_mb", "disk_read_mb", "disk_write_mb",
-        "net_sent_mb", "net_recv_mb", "top_proc", "status",
-    ]
-    text = log_line(F.col("timestamp"), severity(F.col("status")), *[F.col(c) for c in names])
-    return metrics.select("line_no", text.alias("value"))
+    """Metrics table (timestamp, readings, top process, status) -> ``line_no, value``."""
+    return metrics.select("line_no", log_line().alias("value"))
 
 
 def with_megabytes(df: DataFrame, counters: dict[str, tuple[str, int]]) -> DataFrame:

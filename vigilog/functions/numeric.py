@@ -10,9 +10,9 @@ def round_exact(name: str, digits: int, ties: str = "even") -> Column:
     """Round the exact binary value of a column; ties to even or ``"away"`` from zero.
 
     Spark's ``round`` works on the shortest decimal text, so 2.675 becomes
-    2.68; the stored double lies below the tie and has to give 2.67. The
-    product with 10**digits is kept as ``p + err`` without loss (splitting
-    the value into two halves), which decides ties exactly and stays in codegen.
+    2.68; the stored double lies below the tie and has to give 2.67. Only a
+    product x * 10**digits that ends in .5 leaves the side open; there the
+    part lost in the product is recovered by splitting x into two halves.
     """
     return F.expr(round_exact_sql(name, digits, ties))
 
@@ -21,26 +21,26 @@ def round_exact_sql(x: str, digits: int, ties: str = "even") -> str:
     """SQL text of ``round_exact``; ``x`` is a column name, it occurs many times."""
     scale = f"{10**digits}D"
     a = f"abs({x})"
-    t = f"({a} * {_SPLITTER}D)"
+    p = f"{a} * {scale}"
+    t = f"{a} * {_SPLITTER}D"
     hi = f"({t} - ({t} - {a}))"
-    lo = f"({a} - {hi})"
-    p = f"({a} * {scale})"
-    err = f"(({hi} * {scale} - {p}) + {lo} * {scale})"
-    k = f"floor({p})"
-    half = f"({p} - {k} - 0.5D)"
-    tie_up = "true" if ties == "away" else f"{k} % 2 = 1"
-    up = f"({half} > 0 or ({half} = 0 and ({err} > 0 or ({err} = 0 and {tie_up}))))"
-    size = f"(({k} + case when {up} then 1 else 0 end) / {scale})"
+    lost = f"({hi} * {scale} - {p}) + ({a} - {hi}) * {scale}"
+    least = "0D" if ties == "away" else f"case when floor({p}) % 2 = 1 then 0D else 4.9E-324D end"
+    tie = f"floor({p}) + case when {lost} >= {least} then 1 else 0 end"
     return (
-        f"case when isnan({x}) then {x} when {a} >= 1e14D then round({x}, {digits}) "
-        f"when {x} < 0 then -{size} else {size} end"
+        f"case when {a} >= 1e14D then {x} when {p} - floor({p}) <> 0.5D then rint({x} * {scale}) / {scale} "
+        f"else sign({x}) * ({tie}) / {scale} end"
     )
 
 
-def float_text(x: Column) -> Column:
+def float_text_sql(x: str) -> str:
     """Decimal text of a double; plain digits where Spark would print ``1.0E7``."""
-    plain = F.regexp_replace(x.cast("decimal(38,4)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.when((F.abs(x) >= 1e7) & (F.abs(x) < 1e16), plain).otherwise(x.cast("string"))
+    plain = rf"regexp_replace(cast(cast({x} as decimal(38,4)) as string), r'(\.\d+?)0+$', '$1')"
+    return f"case when abs({x}) >= 1e7D and abs({x}) < 1e16D then {plain} else cast({x} as string) end"
+
+
+def float_text(name: str) -> Column:
+    return F.expr(float_text_sql(name))
 
 
 def mean_sql(items: str, usual: int) -> str:

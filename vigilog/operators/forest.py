@@ -205,45 +205,63 @@ def fit_forest(
 def _node_arrays(nodes: DataFrame, trees: int, sample: int) -> tuple:
     """Trees as complete binary trees: feature, cut and leaf path by heap position.
 
-    A leaf above the last level is repeated below itself, so that every row
-    takes the same number of steps.
+    The root is at 1, the children of ``i`` at ``2i`` and ``2i + 1``. A leaf above
+    the last level is repeated below itself, so that every row takes the same
+    number of steps. All trees are laid out level by level.
     """
     depth = math.ceil(math.log2(max(sample, 2)))
-    width = 2 ** (depth + 1) - 1
-    feature = np.zeros((trees, width), np.intp)
-    cut = np.full((trees, width), np.inf)
-    path = np.zeros((trees, width))
+    inner = 2**depth
+    feature = np.zeros((trees, inner), np.intp)
+    cut = np.full((trees, inner), np.inf)
+    path = np.zeros((trees, inner))
     bound = trees * (2 * sample - 1)
     rows = nodes.limit(bound + 1).toPandas()
     if len(rows) > bound:
         raise ValueError("node table is larger than its model allows")
-    for tree, group in rows.groupby("tree"):
-        group = group.set_index("node")
-        todo = [(0, 0)]
-        while todo:
-            node, at = todo.pop()
-            r = group.loc[node]
-            if r["feature"] >= 0:
-                feature[tree, at], cut[tree, at] = int(r["feature"]), r["threshold"]
-                todo += [(int(r["left"]), 2 * at + 1), (int(r["right"]), 2 * at + 2)]
-            else:
-                while at < width // 2:
-                    at = 2 * at + 1
-                path[tree, at] = r["path"]
+    rows = rows.sort_values(["tree", "node"])
+    start = np.searchsorted(rows["tree"], np.arange(trees))
+    column = {c: rows[c].to_numpy() for c in ("feature", "threshold", "path")}
+    child = {c: rows[c].fillna(0).to_numpy(np.intp) for c in ("left", "right")}
+    tree, at, node = np.arange(trees), np.ones(trees, np.intp), start.copy()
+    while len(node):
+        split = column["feature"][node] >= 0
+        leaf_tree, leaf_at = tree[~split], at[~split]
+        while (leaf_at < inner).any():
+            leaf_at = np.where(leaf_at < inner, 2 * leaf_at, leaf_at)
+        path[leaf_tree, leaf_at - inner] = column["path"][node[~split]]
+        tree, at, node = tree[split], at[split], node[split]
+        feature[tree, at], cut[tree, at] = column["feature"][node], column["threshold"][node]
+        node = np.concatenate([start[tree] + child[c][node] for c in ("left", "right")])
+        at = np.concatenate([2 * at, 2 * at + 1])
+        tree = np.concatenate([tree, tree])
     return feature, cut, path, depth
 
 
+CHUNK = 16_384
+
+
 def mean_path(x: np.ndarray, feature, cut, path, depth: int) -> np.ndarray:
-    """Mean leaf path over all trees, vectorised across rows."""
-    flat = np.ascontiguousarray(x).ravel()
-    base = np.arange(len(x)) * x.shape[1]
-    total = np.zeros(len(x))
-    for f, c, p in zip(feature, cut, path):
-        at = np.zeros(len(x), np.intp)
-        for _ in range(depth):
-            at = 2 * at + 1 + (flat[base + f[at]] > c[at])
-        total += p[at]
-    return total / len(feature)
+    """Mean leaf path over all trees; rows advance together, a chunk at a time."""
+    out = np.empty(len(x))
+    inner = feature.shape[1]
+    for lo in range(0, len(x), CHUNK):
+        part = np.ascontiguousarray(x[lo : lo + CHUNK])
+        n, width = part.shape
+        flat, base = part.ravel(), np.arange(n) * width
+        at, where = np.empty(n, np.intp), np.empty(n, np.intp)
+        value, limit, total = np.empty(n), np.empty(n), np.zeros(n)
+        for f, c, p in zip(feature, cut, path):
+            at.fill(1)
+            for _ in range(depth):
+                np.take(f, at, out=where, mode="clip")
+                np.add(where, base, out=where)
+                np.take(flat, where, out=value, mode="clip")
+                np.take(c, at, out=limit, mode="clip")
+                np.add(at, at, out=at)
+                np.add(at, value > limit, out=at)
+            total += p[at - inner]
+        out[lo : lo + n] = total / len(feature)
+    return out
 
 
 def with_score(df: DataFrame, model: ForestModel) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.functions.numeric import float_text, round_exact
+from vigilog.functions.numeric import float_text_sql, round_exact_sql
 from vigilog.schema import FEATURES
 
 
@@ -61,4 +61,5 @@ def hit_tag(label: Column) -> Column:
 
 def one_decimal(name: str) -> Column:
     """Display text with one decimal (ties away from zero), a dash where missing."""
-    return F.coalesce(float_text(round_exact(name, 1, ties="away")), F.lit("—"))
+    shown = round_exact_sql(name, 1, ties="away")
+    return F.expr(f"coalesce(get(transform(array({shown}), x -> {float_text_sql('x')}), 0), '—')")

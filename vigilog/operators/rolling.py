@@ -8,7 +8,9 @@ still spreads over all tasks.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilog.functions.numeric import deviation_sql, float_text, mean_sql, round_exact
+from vigilog.functions.numeric import (
+    deviation_sql, float_text_sql, mean_sql, round_exact, round_exact_sql,
+)
 from vigilog.schema import (
     MIN_HISTORY, ROLLING_WINDOW, STATIC_CPU, STATIC_MEM, STD_FLOOR, Z_THRESHOLD,
 )
@@ -139,29 +141,35 @@ def with_rounded_check(df: DataFrame) -> DataFrame:
     )
 
 
-def _reason(label: str, metric: str, value: str) -> Column:
-    text = F.concat(
-        F.lit(f"{label} Z="), float_text(F.col(f"{metric}_z_shown")),
-        F.lit(" (now="), float_text(F.col(value)),
-        F.lit("% vs baseline avg="), float_text(F.col(f"{metric}_mean_shown")),
-        F.lit("%±"), float_text(F.col(f"{metric}_std_shown")), F.lit(")"),
+def _reason(label: str, metric: str, value: str) -> str:
+    """SQL text of one reason; lambdas keep the rarely used formatting out of the main code."""
+    rounded = (
+        f"concat(transform(array({metric}_z), x -> {round_exact_sql('x', 3)}), array({value}), "
+        f"transform(array({metric}_mean, {metric}_std), x -> {round_exact_sql('x', 2)}))"
+    )
+    texts = f"transform({rounded}, x -> {float_text_sql('x')})"
+    text = (
+        f"concat('{label} Z=', get(t, 0), ' (now=', get(t, 1), '% vs baseline avg=', get(t, 2), "
+        "'%±', get(t, 3), ')')"
     )
-    return F.when(F.col(f"{metric}_above"), text)
+    return f"case when {metric}_above then get(transform(array({texts}), t -> {text}), 0) end"
 
 
 def with_smart_alert(df: DataFrame, reason: bool = True) -> DataFrame:
-    """Add ``smart_alert`` (CPU or memory above its baseline) and ``smart_reason``."""
+    """Add ``smart_alert`` (CPU or memory above its baseline) and ``smart_reason``.
+
+    The text is only put together for alerts, few of the rows.
+    """
     out = df.withColumn("smart_alert", F.expr("cast(cpu_above or mem_above as int)"))
     if not reason:
         return out
-    shown = with_rounded_check(out)
-    return shown.withColumn(
+    return out.withColumn(
         "smart_reason",
-        F.when(
-            F.col("smart_alert") == 1,
-            F.concat_ws(" | ", _reason("CPU", "cpu", CPU), _reason("MEM", "mem", MEM)),
-        ).otherwise("normal"),
-    ).drop(*[c for c in shown.columns if c.endswith("_shown")])
+        F.expr(
+            f"case when smart_alert = 1 then concat_ws(' | ', {_reason('CPU', 'cpu', CPU)}, "
+            f"{_reason('MEM', 'mem', MEM)}) else 'normal' end"
+        ),
+    )
 
 
 def with_static_alert(df: DataFrame, cpu: float = STATIC_CPU, mem: float = STATIC_MEM) -> DataFrame:
