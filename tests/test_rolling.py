@@ -62,8 +62,8 @@ def test_missing_reading_silences_the_window(spark):
 
 
 @pytest.mark.parametrize("block_rows", [1, 7, 64, 1 << 20])
-@pytest.mark.parametrize("key", ["host", None])
-def test_blocks_equal_one_pass(spark, block_rows, key):
+@pytest.mark.parametrize("key, dense", [("host", None), ("host", True), (None, None), (None, False)])
+def test_blocks_equal_one_pass(spark, block_rows, key, dense):
     """Hot stream, thin stream, gaps longer than a block, negative order values."""
     rng = random.Random(3)
     rows, n = [], -40
@@ -74,7 +74,7 @@ def test_blocks_equal_one_pass(spark, block_rows, key):
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     got = {
         r.line_no: r
-        for r in rolling.smart_alerts(df, stream_key=key, carry=None if key else ["host"], block_rows=block_rows).collect()
+        for r in rolling.smart_alerts(df, stream_key=key, carry=None if key else ["host"], block_rows=block_rows, dense=dense).collect()
     }
     assert len(got) == len(rows)
     groups = {}
@@ -121,3 +121,26 @@ def test_static_alert(spark):
     rows = [("a", 1, 80.0, 85.0), ("a", 2, 80.1, 0.0), ("a", 3, 0.0, 85.1), ("a", 4, float("nan"), None)]
     got = rolling.with_static_alert(spark.createDataFrame(rows, SCHEMA)).collect()
     assert [r.static_alert for r in got] == [0, 1, 1, 0]
+
+
+def test_blocks_are_filled_and_bounded(spark):
+    """A stream on every 50th order value gets few, full blocks; small streams get one."""
+    rows = spark.range(20_000).selectExpr(
+        "case when id % 50 = 7 then 'rare' when id % 5000 = 3 then 'tiny' else 'hot' end as host",
+        "id as line_no", "1D as cpu_max_pct", "1D as mem_used_pct",
+    )
+    widths = {r["_stream"]: r["_width"] for r in rolling.block_widths(rows, "host", "line_no", 100).collect()}
+    assert widths == {"rare": 5000, "hot": 100}
+    done = rolling.with_baseline(rows, "host", block_rows=100)
+    assert done.count() == 20_000
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" in plan
+
+
+def test_null_stream_key(spark):
+    rows = [(None, i, float(i % 7), 1.0) for i in range(60)] + [("a", i, float(i % 5), 1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for block_rows in (8, 1000):
+        got = rolling.with_baseline(df, "host", block_rows=block_rows).collect()
+        assert len(got) == 120
+        assert sorted(r.history for r in got if r.host is None) == sorted(min(i, 20) for i in range(60))

@@ -26,16 +26,22 @@ def with_baseline(
     carry: list[str] | None = None,
     window: int = ROLLING_WINDOW,
     block_rows: int = BLOCK_ROWS,
+    dense: bool | None = None,
 ) -> DataFrame:
     """Mean and population deviation of the previous ``window`` readings.
 
     ``order_col`` is an integer, unique within its stream (or overall, without
-    ``stream_key``). Each block covers ``block_rows`` consecutive order values
-    and so holds at most that many rows of a stream, however large the stream.
-    Rows are shuffled once, by (stream, block). The last ``window`` rows of
-    every block ("tail") are taken from the same shuffle output, handed on to
-    the next block of the stream, across thin blocks too, and dropped after
-    the window is evaluated. Only the tails are ever ordered per stream.
+    ``stream_key``). A stream is cut into blocks of at most ``block_rows`` rows,
+    however large it is. Rows are shuffled once, by (stream, block). The last
+    ``window`` rows of every block ("tail") are taken from the same shuffle
+    output, handed on to the next block of the stream, across thin blocks too,
+    and dropped after the window is evaluated. Only the tails are ever ordered
+    per stream.
+
+    ``dense`` says that the order values of a stream are nearly consecutive, as
+    line numbers of a file are; then every block spans ``block_rows`` of them.
+    Otherwise (the default with ``stream_key``) a counting pass over key and
+    order finds spans that fill the blocks, see ``block_widths``.
 
     Missing readings count as NaN and, as in any mean, silence the checks while
     they are in the window. Pass in ``carry`` the other columns to keep; what is
@@ -44,11 +50,21 @@ def with_baseline(
     key = [stream_key] if stream_key else []
     names = [*key, order_col, CPU, MEM, *(carry or [])]
     nan = F.lit(float("nan"))
-    order = F.col(order_col)
     rows = df.select(
-        *[F.coalesce(F.col(c), nan).alias(c) if c in (CPU, MEM) else F.col(c) for c in names],
-        (order - F.pmod(order, F.lit(block_rows))).alias("_block"),
+        *[F.coalesce(F.col(c), nan).alias(c) if c in (CPU, MEM) else F.col(c) for c in names]
     )
+    if dense or (dense is None and not key):
+        rows = rows.withColumn("_block", _floor_to(order_col, F.lit(block_rows)))
+    else:
+        widths = block_widths(df, stream_key, order_col, block_rows)
+        same = F.col(stream_key).eqNullSafe(F.col("_stream")) if key else F.lit(True)
+        # At most one row per block_rows rows of input: small enough for every task.
+        rows = rows.join(F.broadcast(widths), same, "left").select(
+            *names,
+            F.when(F.col("_width").isNull(), F.lit(0).cast("bigint"))
+            .otherwise(_floor_to(order_col, F.col("_width")))
+            .alias("_block"),
+        )
     home = [*key, "_block"]
     placed = rows.repartition(*home)
 
@@ -97,6 +113,31 @@ def with_baseline(
     )
 
 
+def _floor_to(order_col: str, width: Column) -> Column:
+    order = F.col(order_col).cast("bigint")
+    return order - F.pmod(order, width.cast("bigint"))
+
+
+def block_widths(df: DataFrame, stream_key: str | None, order_col: str, block_rows: int) -> DataFrame:
+    """Span of order values per block, for the streams of more than ``block_rows`` rows.
+
+    Slots of ``block_rows`` order values are counted; a block joins as many slots
+    as hold no more than ``block_rows`` rows even where the stream is densest.
+    Smaller streams have no row here, they are one block. Without this, a stream
+    that owns one in a thousand of shared order values would fall into blocks of
+    a few rows, and the copied tails would outnumber the rows.
+    """
+    key = [F.col(stream_key).alias("_stream")] if stream_key else []
+    slots = df.groupBy(*key, _floor_to(order_col, F.lit(block_rows)).alias("_slot")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    joined = F.expr(f"greatest(1, {block_rows} div max(n))")
+    sizes = slots.groupBy(*(["_stream"] if key else [])).agg(
+        F.sum("n").alias("rows"), (F.lit(block_rows) * joined).alias("_width")
+    )
+    return sizes.where(F.col("rows") > block_rows).drop("rows")
+
+
 def _without(names: list[str], key: list[str], order_col: str) -> list[str]:
     return [c for c in names if c not in key and c != order_col]
 

@@ -48,6 +48,6 @@ def run(spark: SparkSession, log_path: str, out: str) -> BatchResult:
         "iso_anomaly", iso_flag(F.col("score"), model.meta["offset"])
     )
     write_report(training_report(scored, model.meta["contamination"]), f"{out}/report")
-    found = detections(table, stream_key="file")
+    found = detections(table, stream_key="file", dense=True)
     merge_rolling(rolling_report(compare_detectors(found)), f"{out}/report")
     return BatchResult(table, refused, parse_tally(stored), model)
