@@ -44,7 +44,7 @@ def main() -> None:
     )
     lines = materialize(raw.repartition(int(cpus) * 2), "bench-lines")
     table = materialize(parse_lines(lines).drop("cpu_cores"), "bench-entries")
-    block = {"block_rows": 8192 * copies}
+    block = {"block_rows": max(4096, n * copies // (4 * int(cpus)))}
     model = forest.fit_forest(table, ["line_no"])
 
     def sink(df):

@@ -736,6 +736,27 @@ def m10(spark, sf):
     return scoring.scored_history(table, model, block_rows=BLOCK)
 
 
+@query("m9_stream")
+def m9_stream(spark, sf):
+    _, model = trained(spark, sf)
+    out = scratch_path(spark, "verdicts")
+    arriving = P.parse_lines(lines_of(event_stream(spark, sf)))
+    scoring.run_scored_stream(
+        arriving, model, "host_id", out, scratch_path(spark, "tails"), scratch_path(spark, "progress"),
+        block_rows=BLOCK,
+    ).awaitTermination()
+    found = spark.read.option("recursiveFileLookup", True).parquet(out)
+    return found.select("host_id", "line_no", "score", "iso_anomaly", "smart_alert", "is_anomaly", "label")
+
+
+@query("k4_model")
+def k4(spark, sf):
+    table, model = trained(spark, sf)
+    path = scratch_path(spark, "model")
+    table_sink.write_model(model, path)
+    return forest.with_score(table, table_source.read_model(spark, path)).select("line_no", "score")
+
+
 @query("l3_first_scored")
 def l3(spark, sf):
     table, model = trained(spark, sf)
@@ -795,6 +816,40 @@ def t1(spark, sf):
     return alert_sink.alerts(spark.read.parquet(out), ["kafka_offset"])
 
 
+@query(
+    "a10_stream_counts",
+    f"""{ENTRIES_SQL} select (select count(*) from l where trim(value) <> '' and not contains(value, '===')
+      and not contains(value, 'Log generator')) as received,
+    count(*) as parsed, cast(sum(is_anomaly) as bigint) as anomalies from e""",
+)
+def a10(spark, sf):
+    run = alert_stream.run_alerts(
+        envelopes(lines_of(event_stream(spark, sf))),
+        scratch_path(spark, "alerts"), scratch_path(spark, "alerts-progress"),
+    )
+    run.awaitTermination()
+    counts = alert_stream.stream_counts(run)
+    row = (counts["received"], counts["parsed"], counts["anomalies"])
+    return spark.createDataFrame([row], "received bigint, parsed bigint, anomalies bigint")
+
+
+@query(
+    "s4_replay",
+    f"""{LINES_SQL} select line_no, value from l
+    where trim(value) <> '' and not contains(value, '===') and not contains(value, 'Log generator')""",
+)
+def s4(spark, sf):
+    inbox, out = scratch_path(spark, "log"), scratch_path(spark, "replayed")
+    log_lines(spark, sf).select("line_no", "value").repartition(4).write.parquet(inbox)
+    sent = envelopes(replay.replay_lines(spark, inbox, max_files=2))
+    (
+        sent.writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", scratch_path(spark, "replay-progress"))
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    return spark.read.parquet(out).select("line_no", F.col("raw_log").alias("value"))
+
+
 def _chunks(spark, sf, n: int = 3):
     """The entries in ``n`` parts by line number, as they would arrive."""
     table = materialize(

@@ -2,6 +2,7 @@
 
 import pytest
 
+import checks.queries
 from checks.compare import compare, connect
 from tests.conftest import SF
 from __spark_entry__ import entry, oracle_sql, queries
@@ -14,6 +15,15 @@ def duck():
     return connect(SF)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_training(spark):
+    """Train once for all model queries."""
+    table, model = checks.queries.trained(spark, SF)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(checks.queries, "trained", lambda spark, sf: (table, model))
+        yield
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     assert compare(spark, duck, name, QUERIES[name], SQL.get(name), SF) is None

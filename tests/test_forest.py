@@ -138,6 +138,18 @@ def test_scoring_jobs(spark, table, model):
     scored, refused = scoring.score_lines(log_lines(spark, SF), model, block_rows=128)
     assert scored.count() == 920 and refused.count() == 80
     assert {r.error for r in refused.collect()} == {"raw_log field is required", "Could not parse log line"}
+    from checks.queries import event_stream, lines_of
+    from vigilog.functions.parse import parse_lines
+
+    paths = [scratch_path(spark, x) for x in ("out", "state", "progress")]
+    scoring.run_scored_stream(
+        parse_lines(lines_of(event_stream(spark, SF))), model, "host_id", *paths, block_rows=64
+    ).awaitTermination()
+    columns = ["line_no", "score", "iso_anomaly", "smart_alert", "smart_reason", "is_anomaly", "label"]
+    live = spark.read.option("recursiveFileLookup", True).parquet(paths[0]).select(*columns)
+    stored = scoring.scored_entries(table, model, "host_id").select(*columns)
+    assert live.orderBy("line_no").collect() == stored.orderBy("line_no").collect()
+
     first = scoring.first_scored(scoring.scored_entries(table, model)).collect()
     assert len(first) == 5 and {r.smart_label for r in first} <= {"ANOMALY", "NORMAL"}
 

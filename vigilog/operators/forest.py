@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vigilog.functions.draws import uniform
 from vigilog.functions.numeric import round_exact
-from vigilog.operators.labels import fill_features
+from vigilog.operators.labels import fill_features, verdict
 from vigilog.operators.quantiles import exact_quantile
 from vigilog.schema import CONTAMINATION, FEATURES, N_TREES, SAMPLE_SIZE, SEED
 from vigilog.storage import materialize
@@ -297,8 +297,6 @@ def with_verdict(scored: DataFrame, offset: float) -> DataFrame:
 
     ``scored`` has ``score``, ``smart_alert`` and ``smart_reason``.
     """
-    from vigilog.operators.labels import verdict
-
     flagged = scored.withColumn("iso_anomaly", iso_flag(F.col("score"), offset))
     return (
         flagged.withColumn(

@@ -2,10 +2,13 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from vigilog.functions.parse import PARSED, with_parse
 from vigilog.operators.forest import ForestModel, with_score, with_verdict
+from vigilog.operators.labels import verdict
 from vigilog.operators.rolling import smart_alerts
+from vigilog.streaming.baseline import run_by_blocks
 
 _PASSED = [
     "timestamp", "disk_read_mb", "disk_write_mb", "net_sent_mb", "net_recv_mb",
@@ -80,10 +83,27 @@ def score_lines(
 
 def first_scored(scored: DataFrame, n: int = 5, order_col: str = "line_no") -> DataFrame:
     """The first entries with the decisions of both detectors side by side."""
-    from vigilog.operators.labels import verdict
-
     return scored.orderBy(order_col).limit(n).select(
         order_col, F.col("cpu_max_pct").alias("cpu"), F.col("mem_used_pct").alias("mem"),
         verdict(F.col("iso_anomaly")).alias("iso_label"),
         verdict(F.col("smart_alert")).alias("smart_label"), "smart_reason",
     )
+
+
+def run_scored_stream(
+    entries: DataFrame, model: ForestModel, stream_key: str, out: str, state: str, checkpoint: str,
+    order_col: str = "line_no", carry: list[str] | None = None, **options,
+) -> StreamingQuery:
+    """Streaming entries -> verdict of both detectors; baselines outlive the batches.
+
+    The forest is a map over the stream, the rolling baseline runs per
+    micro-batch; options as for ``run_by_blocks``.
+    """
+    passed = list(carry or [])
+    scored = with_score(entries, model).select(
+        stream_key, order_col, "cpu_max_pct", "mem_used_pct", "score", *passed
+    )
+    return run_by_blocks(
+        scored, stream_key, out, state, checkpoint, order_col, ["score", *passed],
+        finish=lambda found: with_verdict(found, model.meta["offset"]), **options,
+    )

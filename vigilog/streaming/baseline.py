@@ -9,7 +9,7 @@ Two ways with the same results:
   stream; for many streams of moderate rate and short triggers.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,17 +19,22 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from vigilog.operators.rolling import CPU, MEM, smart_alerts, with_smart_alert, with_zscores
+from vigilog.operators.rolling import (
+    BLOCK_ROWS, CPU, MEM, smart_alerts, with_smart_alert, with_zscores,
+)
 from vigilog.schema import ROLLING_WINDOW
 
 
 def run_by_blocks(
     entries: DataFrame, stream_key: str, out: str, state: str, checkpoint: str,
     order_col: str = "line_no", carry: list[str] | None = None,
-    available_now: bool = True, block_rows: int = 1 << 20,
+    available_now: bool = True, block_rows: int = BLOCK_ROWS,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Detections to ``out``; the last readings per stream, by batch, to ``state``.
 
+    ``finish`` is applied to the detections of a batch before they are written.
+
     Batch ``n`` reads the state of batch ``n - 1`` and replaces its own output
     and state folders, so a batch that is run again after a failure leaves the
     same files. Within a batch rows are ordered by ``order_col``; rows of a later
@@ -61,10 +66,8 @@ def run_by_blocks(
             whole, stream_key=stream_key, order_col="_pos", carry=["_new", *passed],
             block_rows=block_rows,
         )
-        (
-            found.where("_new").drop("_new").withColumnRenamed("_pos", order_col)
-            .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        )
+        fresh = found.where("_new").drop("_new").withColumnRenamed("_pos", order_col)
+        (finish(fresh) if finish else fresh).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         newest = Window.partitionBy(stream_key).orderBy(F.desc("_pos"))
         (
             whole.withColumn("_n", F.row_number().over(newest))
