@@ -175,3 +175,9 @@ def test_value_at_rank(spark):
         assert value_at_rank(df, "x", rank) == rank * 3 - 900
     assert value_at_rank(df, "x", 5000) is None
     assert value_at_rank(df.limit(0), "x", 0) is None
+
+
+def test_filter_on_the_score_runs_python_once(table, model):
+    low = forest.with_score(table, model).where("score < -0.6")
+    plan = low._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

@@ -144,3 +144,9 @@ def test_null_stream_key(spark):
         got = rolling.with_baseline(df, "host", block_rows=block_rows).collect()
         assert len(got) == 120
         assert sorted(r.history for r in got if r.host is None) == sorted(min(i, 20) for i in range(60))
+
+
+def test_filter_on_alerts_does_not_repeat_the_statistics(spark, table):
+    alerts = rolling.smart_alerts(table).where("smart_alert = 1")
+    plan = alerts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sqrt(") + plan.count("SQRT(") == 2

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from vigilog.functions.draws import uniform
 from vigilog.functions.numeric import round_exact
+from vigilog.functions.settle import settle
 from vigilog.operators.labels import fill_features, verdict
 from vigilog.operators.quantiles import exact_quantile
 from vigilog.schema import CONTAMINATION, FEATURES, N_TREES, SAMPLE_SIZE, SEED
@@ -280,7 +281,8 @@ def with_score(df: DataFrame, model: ForestModel) -> DataFrame:
 
     # The scaled features are the UDF's arguments; the entry keeps its own values.
     fixed = scaler_values(model.scaler)
-    return df.withColumn("score", score(*[scaled_feature(c, fixed) for c in features]))
+    scored = df.withColumn("score", score(*[scaled_feature(c, fixed) for c in features]))
+    return settle(scored, "score")
 
 
 def iso_flag(score: Column, offset: float) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vigilog.functions.numeric import (
     deviation_sql, float_text_sql, mean_sql, round_exact, round_exact_sql,
 )
+from vigilog.functions.settle import settle
 from vigilog.schema import (
     MIN_HISTORY, ROLLING_WINDOW, STATIC_CPU, STATIC_MEM, STD_FLOOR, Z_THRESHOLD,
 )
@@ -94,7 +95,7 @@ def with_baseline(
         f"rows between {window} preceding and 1 preceding)"
     )
     kept = [f"`{c}`" for c in names]
-    return (
+    figures = (
         placed.withColumn("_copy", F.lit(False))
         .unionByName(halo)
         .selectExpr(
@@ -111,6 +112,7 @@ def with_baseline(
             "mem_mean", f"{deviation_sql('_mem', 'mem_mean', window)} as mem_std",
         )
     )
+    return settle(figures, "history", "cpu_mean", "cpu_std", "mem_mean", "mem_std")
 
 
 def _floor_to(order_col: str, width: Column) -> Column:
