@@ -37,8 +37,8 @@ def main() -> None:
 
     raw = log_lines(spark, sf_dir)
     n = raw.count()
-    rep = spark.range(copies).withColumnRenamed("id", "_copy")
-    raw = raw.join(F.broadcast(rep)).select(
+    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    raw = raw.withColumn("_copy", copy).select(
         (F.col("line_no") + F.col("_copy") * n).alias("line_no"),
         (F.col("host_id") + F.col("_copy") * 16).alias("host_id"), "value",
     )

@@ -757,6 +757,16 @@ def k4(spark, sf):
     return forest.with_score(table, table_source.read_model(spark, path)).select("line_no", "score")
 
 
+@query(
+    "m10_rolling_part",
+    f"""{GLOBAL_SQL} select line_no, "timestamp", cpu_max_pct as cpu, mem_used_pct as mem, disk_read_mb as disk_r,
+    disk_write_mb as disk_w, net_sent_mb as net_s, net_recv_mb as net_r, top_proc_name as proc, smart_alert, anomaly_type from d""",
+)
+def m10_rolling(spark, sf):
+    # The columns of the history that do not depend on the forest's random draws.
+    return m10(spark, sf).drop("score", "iso_anomaly", "is_anomaly", "label", "smart_reason")
+
+
 @query("l3_first_scored")
 def l3(spark, sf):
     table, model = trained(spark, sf)

@@ -173,3 +173,14 @@ def test_batch_job(spark, tmp_path):
 
 def test_shared_root_is_the_session_setting(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as N
+
+    def session(master):
+        return N(conf=N(get=lambda name, default: default), sparkContext=N(master=master))
+
+    assert shared_root(session("local[2]")) == shared_root(session("local[2]"))
+    with pytest.raises(ValueError):
+        shared_root(session("spark://head:7077"))

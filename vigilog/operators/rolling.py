@@ -58,13 +58,15 @@ def with_baseline(
         rows = rows.withColumn("_block", _floor_to(order_col, F.lit(block_rows)))
     else:
         widths = block_widths(df, stream_key, order_col, block_rows)
-        same = F.col(stream_key).eqNullSafe(F.col("_stream")) if key else F.lit(True)
-        # At most one row per block_rows rows of input: small enough for every task.
-        rows = rows.join(F.broadcast(widths), same, "left").select(
-            *names,
-            F.when(F.col("_width").isNull(), F.lit(0).cast("bigint"))
-            .otherwise(_floor_to(order_col, F.col("_width")))
-            .alias("_block"),
+        if key:
+            # At most one row per block_rows rows of input: small enough for every task.
+            same = F.col(stream_key).eqNullSafe(F.col("_stream"))
+            rows = rows.join(F.broadcast(widths), same, "left").drop("_stream")
+        else:
+            rows = rows.withColumn("_width", widths.scalar())
+        block = F.when(F.col("_width").isNull(), F.lit(0).cast("bigint"))
+        rows = rows.select(
+            *names, block.otherwise(_floor_to(order_col, F.col("_width"))).alias("_block")
         )
     home = [*key, "_block"]
     placed = rows.repartition(*home)

@@ -94,9 +94,9 @@ def stats_summary(
     )
     if rolling is None:
         return summary.withColumn("rolling_baseline", F.lit(None).cast(ROLLING_REPORT))
-    # Both sides are one row by construction.
-    report = rolling.select(F.struct(*ROLLING_REPORT.names).alias("rolling_baseline"))
-    return summary.join(F.broadcast(report.agg(F.first("rolling_baseline").alias("rolling_baseline"))))
+    # A scalar subquery: null if the report has no rolling section.
+    section = rolling.select(F.struct(*ROLLING_REPORT.names))
+    return summary.select("*", section.scalar().alias("rolling_baseline"))
 
 
 def donut(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,9 +18,12 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="vigilog-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
+
+
+@lru_cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="vigilog-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
