@@ -150,3 +150,15 @@ def test_filter_on_alerts_does_not_repeat_the_statistics(spark, table):
     alerts = rolling.smart_alerts(table).where("smart_alert = 1")
     plan = alerts._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sqrt(") + plan.count("SQRT(") == 2
+
+
+def test_many_large_streams_join_without_broadcast(spark, table, monkeypatch):
+    want = rolling.with_baseline(table, "host_id", block_rows=16).orderBy("line_no").collect()
+    monkeypatch.setattr(rolling, "MAX_BROADCAST_STREAMS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = rolling.with_baseline(table, "host_id", block_rows=16)
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.orderBy("line_no").collect() == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

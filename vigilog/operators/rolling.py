@@ -15,9 +15,11 @@ from vigilog.functions.settle import settle
 from vigilog.schema import (
     MIN_HISTORY, ROLLING_WINDOW, STATIC_CPU, STATIC_MEM, STD_FLOOR, Z_THRESHOLD,
 )
+from vigilog.storage import materialize
 
 CPU, MEM = "cpu_max_pct", "mem_used_pct"
 BLOCK_ROWS = 1 << 20
+MAX_BROADCAST_STREAMS = 1_000_000
 
 
 def with_baseline(
@@ -58,12 +60,7 @@ def with_baseline(
         rows = rows.withColumn("_block", _floor_to(order_col, F.lit(block_rows)))
     else:
         widths = block_widths(df, stream_key, order_col, block_rows)
-        if key:
-            # At most one row per block_rows rows of input: small enough for every task.
-            same = F.col(stream_key).eqNullSafe(F.col("_stream"))
-            rows = rows.join(F.broadcast(widths), same, "left").drop("_stream")
-        else:
-            rows = rows.withColumn("_width", widths.scalar())
+        rows = _join_widths(rows, widths, stream_key)
         block = F.when(F.col("_width").isNull(), F.lit(0).cast("bigint"))
         rows = rows.select(
             *names, block.otherwise(_floor_to(order_col, F.col("_width"))).alias("_block")
@@ -142,6 +139,25 @@ def block_widths(df: DataFrame, stream_key: str | None, order_col: str, block_ro
     return sizes.where(F.col("rows") > block_rows).drop("rows")
 
 
+def _join_widths(rows: DataFrame, widths: DataFrame, stream_key: str | None) -> DataFrame:
+    """Add ``_width``, null for the streams that are one block.
+
+    There is at most one large stream per ``block_rows`` rows of input. They are
+    counted first: up to a million are broadcast, beyond that the join shuffles
+    the rows, where adaptive execution splits the large streams.
+    """
+    if stream_key is None:
+        return rows.withColumn("_width", widths.scalar())
+    widths = materialize(widths, "widths")
+    streams = widths.count()
+    if not streams:
+        return rows.withColumn("_width", F.lit(None).cast("bigint"))
+    if streams <= MAX_BROADCAST_STREAMS:
+        widths = F.broadcast(widths)
+    same = F.col(stream_key).eqNullSafe(F.col("_stream"))
+    return rows.join(widths, same, "left").drop("_stream")
+
+
 def _without(names: list[str], key: list[str], order_col: str) -> list[str]:
     return [c for c in names if c not in key and c != order_col]
 
