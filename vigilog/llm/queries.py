@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilog.llm import chat, mixing, sharding
+from vigilog.llm import chat, mixing, packing, sharding
 from vigilog.llm.frame import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,20 @@ from s left join c on c.conv_id = s.conv_id group by s.conv_id
 """
 
 
+def word_tokenizer() -> str:
+    """The tokenizer that the contract names; operators take its path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op6_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = packing.pieces(docs, word_tokenizer()).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.place(cut).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op8_shards(spark, sf_dir):
     text = F.col("text")
