@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilog.llm import chat, mixing, packing, sharding
+from vigilog.llm import chat, language, mixing, packing, sharding, toxicity
 from vigilog.llm.frame import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(n: int):
+    """crc32 of doc_id as text, modulo ``n``; null for a null id, which is then neither learned from nor held out."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def toxicity_model(spark, sf_dir, docs: DataFrame) -> dict:
+    """Learned without the held-out rows."""
+    labels = table(spark, sf_dir, "labels").where(remainder(3) != 1)
+    return toxicity.learn(toxicity.labelled(docs.select("doc_id", "text"), labels), "_text", "_label")
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = toxicity.with_scores(docs, toxicity_model(spark, sf_dir, docs))
+    return judged.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "score", "predicted", "hits")
+
+
+@query
+def op2_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.learn(docs.where(remainder(4) != 2))
+    judged = language.with_language(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op3_chat_windows(spark, sf_dir):
     said = r"\### Assistant: </turn> ok"

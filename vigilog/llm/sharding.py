@@ -149,7 +149,7 @@ def fixed_shards(docs: DataFrame, group: Column, size: Column, capacity: int, pe
     def pack_cell(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_bytes", "_item"], ascending=[False, True])
         bins = best_fit([int(b) for b in pdf["_bytes"]], capacity)
-        return pd.DataFrame({"_item": pdf["_item"], "_shard": [f"{c}-{b}" for c, b in zip(pdf["_cell"], bins)]})
+        return pd.DataFrame({"_item": pdf["_item"], "_shard": pd.Series([f"{c}-{b}" for c, b in zip(pdf["_cell"], bins)], pdf.index, object)})
 
     grain = max(1, capacity // 64)
     blocks = max(1, total // grain)
