@@ -4,6 +4,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ REPORTING = frozenset(
     "zitat dit appelle mot terme cita dijo llama palabra".split()
 )
 ADDRESSING = frozenset("you your you're youre u ur du dich dein deine ihr euch tu toi ton te vous usted eres".split())
-WINDOW = 6
-PREFIXES = range(3, 11)
+NEAR = 6
+WINDOW = 64
+PREFIXES = range(4, 11)
 KNOWN_WORDS = 400_000
 
 
@@ -133,37 +135,48 @@ def stripped(word: str) -> str:
     return TRIPLED.sub(r"\1", word) if TRIPLED.search(word) else word
 
 
-def _terms_of(text: str) -> set[str]:
+def _words(text: str) -> Counter:
+    return Counter(stripped(w) for w in text.lower().split())
+
+
+def _counted(text: str, asked: frozenset | None = None) -> Counter:
     """Candidates of a text: its words (marked by a final blank) and their first letters."""
-    words = {stripped(w) for w in text.lower().split()}
-    found = {w[:k] for w in words for k in PREFIXES if len(w) >= k}
-    return found | {f"{w} " for w in words if 3 <= len(w) <= 30}
+    found: Counter = Counter()
+    for word, n in _words(text).items():
+        for t in (*[word[:k] for k in PREFIXES if len(word) >= k], *([f"{word} "] if 3 <= len(word) <= 30 else [])):
+            if asked is None or t in asked:
+                found[t] += n
+    return found
 
 
-def sure_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, precision: float, share: float) -> dict[str, int]:
-    """Candidates that toxic rows nearly alone hold, more of them than chance explains.
+def sure_terms(toxic: dict, clean: dict, words: tuple[int, int], rows: tuple[int, int], ratio: float, share: float) -> dict[str, float]:
+    """Candidates at least ``ratio`` times as frequent in toxic rows, in more of them than chance explains.
 
-    Of a chain of ever longer beginnings those stay that the next letter would split.
+    ``toxic`` and ``clean`` hold (occurrences, rows) by candidate. Of a chain of ever longer
+    beginnings those stay that the next letter would split. Returns the log of the ratio.
     """
-    chance = (n_toxic + 1) / (n_toxic + n_clean + 2)
-    least = max(3, share * n_toxic, math.log(len(toxic) + 1) / -math.log(chance))
+    chance = (rows[1] + 1) / (rows[0] + rows[1] + 2)
+    least = max(3, share * rows[1], math.log(len(toxic) + 1) / -math.log(chance))
     longer: dict[str, int] = defaultdict(int)
-    for t, n in toxic.items():
+    for t, (_, n) in toxic.items():
         if not t.endswith(" "):
             longer[t[:-1]] = max(longer[t[:-1]], n)
-    return {
-        t: n for t, n in toxic.items()
-        if n >= least and (n + 1) / (n + clean.get(t, 0) + 1) >= precision and (t.endswith(" ") or longer[t] < 0.9 * n)
-    }
+    logs = {t: log_ratio(clean.get(t, (0, 0))[0], n, words) for t, (n, _) in toxic.items()}
+    return {t: logs[t] for t, (_, n) in toxic.items() if n >= least and logs[t] >= math.log(ratio) and (t.endswith(" ") or longer[t] < 0.9 * n)}
+
+
+def log_ratio(clean: float, toxic: float, words: tuple[int, int]) -> float:
+    return math.log((toxic + 0.5) / (words[1] + 1)) - math.log((clean + 0.5) / (words[0] + 1))
 
 
-def select_terms(sure: dict[str, int], rows: list[list[str]], toxic: dict[str, int], least: float) -> dict[str, bool]:
+def select_terms(sure: dict[str, float], rows: list[list[str]], toxic: dict, least: float) -> dict[str, bool]:
     """The lexicon, and whether each term is open.
 
-    Terms are taken by the toxic rows that they alone explain so far; words that only ride
-    along in copies of such rows explain nothing more and are left. A term found in at least
-    0.4 as many rows as the taken term it shares most rows with is a term of its own right.
-    A term whose rows mostly hold it as a whole word is closed.
+    Terms are taken by the toxic rows that they alone explain so far, times how telling they
+    are; words that only ride along in copies of such rows explain nothing more and are left.
+    A term in at least 0.4 as many rows as the taken term it shares most rows with is a term
+    of its own right. Beginnings stand for their longer forms. A term whose rows mostly hold
+    it as a whole word is closed.
     """
     held: dict[str, set[int]] = defaultdict(set)
     for i, terms in enumerate(rows):
@@ -171,85 +184,145 @@ def select_terms(sure: dict[str, int], rows: list[list[str]], toxic: dict[str, i
             held[t].add(i)
     left, taken = {t: set(h) for t, h in held.items()}, []
     while left:
-        best = max(left, key=lambda t: (len(left[t]), len(held[t]), -len(t), t))
+        best = max(left, key=lambda t: (len(left[t]) * sure[t], -len(t), t))
         if len(left[best]) < least:
-            break
+            del left[best]
+            continue
         taken.append(best)
         covered = left.pop(best)
-        left = {t: rest for t, h in left.items() if (rest := h - covered)} if covered else left
+        left = {t: rest for t, h in left.items() if (rest := h - covered)}
     chosen = list(taken)
     for t in sorted(held, key=lambda t: (-len(held[t]), t)):
-        if t not in chosen:
-            near = max(taken, key=lambda x: len(held[x] & held[t]), default=None)
-            if near and len(held[t]) >= 0.4 * len(held[near]):
-                chosen.append(t)
+        near = max(taken, key=lambda x: len(held[x] & held[t]), default=None)
+        if t not in chosen and near and len(held[t]) >= 0.4 * len(held[near]):
+            chosen.append(t)
     kept: dict[str, bool] = {}
-    for t in sorted(chosen, key=lambda t: (len(t.strip()), not t.endswith(" "))):
+    for t in sorted(chosen, key=lambda t: (len(t.strip()), not t.endswith(" "), t)):
         word = t.strip()
-        if any(word[:k] in kept and kept[word[:k]] for k in range(3, len(word))) or word in kept:
+        if word in kept or any(kept.get(word[:k]) for k in range(1, len(word))):
             continue
-        kept[word] = not t.endswith(" ") and toxic.get(f"{word} ", 0) < 0.5 * sure[t]
+        kept[word] = not t.endswith(" ") and toxic.get(f"{word} ", (0, 0))[1] < 0.5 * toxic[t][1]
     return kept
 
 
-def learn(rows: DataFrame, text: str, label: str, precision: float = 0.95, share: float = 0.01) -> dict:
-    """Learns the lexicon from labelled rows: ``terms``, ``precision`` by term and variant, ``floor``.
+def fitted(values: list[float], labels: list[int]) -> tuple[float, float]:
+    """Slope and intercept of a logistic curve through evidence and label.
 
-    ``rows`` is a bounded sample (see ``labelled``). Candidates are counted in toxic rows,
-    then those with enough support in clean rows, then near forms of the chosen terms in
-    all rows; these counts and the sure terms of each toxic row are all that reaches the driver.
+    Newton's method with bounded steps; a weak pull to slope 1 and intercept -4 keeps
+    the curve finite where labels can be told apart without error.
     """
-    rows = materialize(rows.select(F.coalesce(col(text), F.lit("")).alias("text"), col(label).cast("int").alias("label")), "labelled")
-    n = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
-    n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
-    least = max(3, int(share * n_toxic))
+    x, y = np.array(values, float), np.array(labels, float)
+    design = np.stack([x, np.ones_like(x)], axis=1)
+    prior, pull = np.array([1.0, -4.0]), np.array([4.0, 0.5])
+    w = prior.copy()
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        gradient = design.T @ (p - y) + pull * (w - prior)
+        curve = (design * (p * (1 - p))[:, None]).T @ design + np.diag(pull)
+        w = w - np.clip(np.linalg.solve(curve, gradient), -0.5, 0.5)
+    return float(w[0]), float(w[1])
 
-    def counts(frames, of):
-        total = Counter()
-        for pdf in frames:
-            for t in pdf["text"]:
-                total.update(of(t))
-        yield pd.DataFrame({"term": pd.Series(list(total), dtype=object), "n": list(total.values())})
 
-    def summed(part: DataFrame, of) -> DataFrame:
-        return part.mapInPandas(lambda frames: counts(frames, of), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+def learn(rows: DataFrame, text: str, label: str, ratio: float = 8.0, share: float = 0.01) -> dict:
+    """Learns from labelled rows: the lexicon, a weight for each form of its terms, the curve from evidence to score.
 
-    toxic = {r.term: r.n for r in summed(rows.where("label = 1"), _terms_of).where(F.col("n") >= least).collect()}
-    asked = frozenset(toxic)
-    clean = {r.term: r.n for r in summed(rows.where("label = 0"), lambda t: _terms_of(t) & asked).collect()}
-    sure = sure_terms(toxic, clean, n_toxic, n_clean, precision, share)
+    ``rows`` is a bounded sample (see ``labelled``). Candidates are counted in toxic rows,
+    then those with enough support in clean rows, then the forms of the chosen terms in all
+    rows, exact and near. These counts, the candidates of each toxic row and the evidence of
+    each row are all that reaches the driver.
+    """
+    rows = materialize(rows.select(F.coalesce(col(text), F.lit("")).alias("text"), col(label).cast("int").alias("label")), "labelled")
+    n = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    sizes = (n.get(0, 0), n.get(1, 0))
+    if not all(sizes):
+        return {"terms": {}, "weights": {}, "curve": (1.0, -5.0), "rows": sum(sizes)}
+    least = max(3, int(share * sizes[1]))
+
+    def counted(part: DataFrame, asked: frozenset | None) -> DataFrame:
+        def count(frames):
+            total: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+            for pdf in frames:
+                for t in pdf["text"]:
+                    total[""][0] += len(t.split())
+                    for term, n in _counted(t, asked).items():
+                        total[term][0] += n
+                        total[term][1] += 1
+            yield pd.DataFrame({"term": pd.Series(list(total), dtype=object), "n": [v[0] for v in total.values()], "d": [v[1] for v in total.values()]})
+
+        return part.mapInPandas(count, "term string, n long, d long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+
+    toxic = {r.term: (r.n, r.d) for r in counted(rows.where("label = 1"), None).where((F.col("d") >= least) | (F.col("term") == "")).collect()}
+    clean = {r.term: (r.n, r.d) for r in counted(rows.where("label = 0"), frozenset(toxic)).collect()}
+    words = (clean.pop("", (0, 0))[0], toxic.pop("", (0, 0))[0])
+    sure = sure_terms(toxic, clean, words, sizes, ratio, share)
     chosen = frozenset(sure)
 
-    def held(frames):
+    def holding(frames):
         for pdf in frames:
-            yield pd.DataFrame({"terms": [sorted(_terms_of(t) & chosen) for t in pdf["text"]]})
+            yield pd.DataFrame({"terms": [sorted(_counted(t, chosen)) for t in pdf["text"]]})
 
-    holding = rows.where("label = 1").mapInPandas(held, "terms array<string>")
-    terms = select_terms(sure, [list(r.terms) for r in holding.collect()], toxic, least)
+    held = [list(r.terms) for r in rows.where("label = 1").mapInPandas(holding, "terms array<string>").collect()]
+    terms = select_terms(sure, held, toxic, least)
 
-    def near(frames):
+    def forms(frames):
         lexicon, seen, total = Lexicon(terms), {}, Counter()
         for pdf in frames:
             for t, y in zip(pdf["text"], pdf["label"]):
-                hit = False
-                for w in {stripped(w) for w in t.lower().split()}:
+                for w, n in _words(t).items():
                     if w not in seen:
-                        seen[w] = lexicon.match(w)
+                        seen[w] = form_of(lexicon, w)
                     if seen[w]:
-                        hit = True
-                        total[(seen[w][0], w if seen[w][1] else "", y)] += 1
-                total[("", "hit" if hit else "none", y)] += 1
-        yield pd.DataFrame([(*k, v) for k, v in total.items()], columns=["term", "variant", "label", "n"]).astype({"term": object, "variant": object})
-
-    found = defaultdict(lambda: [0, 0])
-    for r in rows.mapInPandas(near, "term string, variant string, label int, n long").groupBy("term", "variant", "label").agg(F.sum("n").alias("n")).collect():
-        found[(r.term, r.variant)][r.label] += r.n
-    # A near form counts as its term does until clean rows speak against it.
-    sure_of = {
-        k: (toxic_n + (0.9 if k[1] else 0.98) * 2) / (toxic_n + clean_n + 2) for k, (clean_n, toxic_n) in found.items() if k[0]
-    }
-    none = found[("", "none")]
-    return {"terms": terms, "precision": sure_of, "floor": min(0.3, (none[1] + 0.5) / (sum(none) + 10)), "rows": n_toxic + n_clean}
+                        total[(*seen[w], y)] += n
+        yield pd.DataFrame([(*k, v) for k, v in total.items()], columns=["term", "form", "label", "n"]).astype({"term": object, "form": object})
+
+    found: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0])
+    for r in rows.mapInPandas(forms, "term string, form string, label int, n long").groupBy("term", "form", "label").agg(F.sum("n").alias("n")).collect():
+        found[(r.term, r.form)][r.label] += r.n
+    weights = weighed(found, words)
+    model = {"terms": terms, "weights": weights, "curve": (1.0, 0.0), "rows": sum(sizes)}
+
+    def evidence(frames):
+        judge = Judge(model)
+        for pdf in frames:
+            yield pd.DataFrame({"x": [judge.evidence(t)[0] for t in pdf["text"]], "y": pdf["label"].to_numpy()})
+
+    points = rows.mapInPandas(evidence, "x double, y int").toPandas()
+    return model | {"curve": fitted(points["x"].tolist(), points["y"].tolist())}
+
+
+def form_of(lexicon: Lexicon, word: str) -> tuple[str, str] | None:
+    """(term, form): exact forms are named by the sign after the term, near ones by ``~`` and the word."""
+    found = lexicon.match(word)
+    if found is None:
+        return None
+    term, edits = found
+    return (term, f"~{word}") if edits else (term, word[len(term) : len(term) + 1] or " ")
+
+
+def weighed(found: dict[tuple[str, str], list[int]], words: tuple[int, int]) -> dict[tuple[str, str], float]:
+    """Log ratios by form; ``(term, "")`` for a rare exact form and ``(term, "~")`` for a near form not met.
+
+    Near forms not met weigh less the more near forms clean rows hold: then the term lies
+    among ordinary words.
+    """
+    exact, near = defaultdict(lambda: [0, 0]), defaultdict(int)
+    for (term, form), (clean, toxic) in found.items():
+        if form[0] != "~":
+            exact[term][0] += clean
+            exact[term][1] += toxic
+        elif clean:
+            near[term] += 1
+    weights = {}
+    for term, (clean, toxic) in exact.items():
+        weights[(term, "")] = max(0.0, log_ratio(clean, toxic, words))
+        weights[(term, "~")] = 0.8 * weights[(term, "")] / (1 + near[term] / 3)
+    for (term, form), (clean, toxic) in found.items():
+        own, cap = log_ratio(clean, toxic, words), weights.get((term, "~" if form[0] == "~" else ""), 0.0)
+        if form[0] == "~":
+            weights[(term, form)] = max(0.0, min(own, cap)) if clean else cap
+        elif clean + toxic >= 5:
+            weights[(term, form)] = max(0.0, own)
+    return weights
 
 
 class Judge:
@@ -257,51 +330,63 @@ class Judge:
 
     def __init__(self, model: dict):
         self.model, self.lexicon = model, Lexicon(model["terms"])
-        self.hits: dict[str, tuple[str, float] | None] = {}
+        self.hits: dict[str, float] = {}
         self.clean: set[str] = set()
 
-    def _look(self, raw: str) -> tuple[str, float] | None:
+    def _weight(self, raw: str) -> float:
         if raw not in self.hits:
-            word = stripped(raw)
-            found = self.lexicon.match(word)
-            if found is None:
+            found = form_of(self.lexicon, stripped(raw))
+            weights = self.model["weights"]
+            weight = 0.0
+            if found is not None:
+                weight = weights.get(found, weights.get((found[0], "~" if found[1][0] == "~" else ""), 0.0))
+            if weight <= 0:
                 self.clean.add(raw)
-                return None
-            term, edits = found
-            self.hits[raw] = (term, self.model["precision"].get((term, word if edits else ""), 0.9 if edits else 0.98))
+                return 0.0
+            self.hits[raw] = weight
         return self.hits[raw]
 
-    def context(self, words: list[str], at: int, quoted: bool) -> float:
+    @staticmethod
+    def context(words: list[str], at: int, quoted: bool) -> float:
         """How far a hit is abuse (1) and not mention: quoted or reported words count less, address counts fully."""
-        around = {w.strip(EDGE) for w in words[max(0, at - WINDOW) : at] + words[at + 1 : at + 1 + WINDOW]}
-        if around & ADDRESSING and not quoted:
-            return 1.0
-        return 0.45 if quoted else 0.7 if around & REPORTING else 1.0
-
-    def score(self, text: str) -> tuple[float, int]:
-        """(score, number of hits) of a whole text."""
-        low = text.lower()
-        words = low.split()
-        if len(self.clean) > KNOWN_WORDS:
+        around = {w.strip(EDGE) for w in words[max(0, at - NEAR) : at] + words[at + 1 : at + 1 + NEAR]}
+        if quoted:
+            return 0.45
+        return 1.0 if around & ADDRESSING else 0.7 if around & REPORTING else 1.0
+
+    def evidence(self, text: str) -> tuple[float, int]:
+        """The weights of the hits in the heaviest window of ``WINDOW`` words, and the number of hits."""
+        words = text.lower().split()
+        if len(self.clean) + len(self.hits) > KNOWN_WORDS:
             self.clean.clear()
-        near = {w for w in set(words).difference(self.clean) if self._look(w)}
+            self.hits.clear()
+        near = {w for w in set(words).difference(self.clean) if self._weight(w)}
         if not near:
-            return (self.model["floor"] if words else 0.0), 0
-        best: dict[str, float] = {}
-        hits, inside = 0, False
+            return 0.0, 0
+        places, inside = [], False
         for at, raw in enumerate(words):
-            opens = sum(raw.count(q) for q in QUOTES) if any(q in raw for q in QUOTES) else 0
+            marks = sum(map(raw.count, QUOTES))
             if raw in near:
-                hits += 1
-                term, precision = self.hits[raw]
-                value = precision * self.context(words, at, inside or opens > 0)
-                best[term] = max(best.get(term, 0.0), value)
-            if opens % 2:
+                places.append((at, self.hits[raw] * self.context(words, at, inside or marks > 0)))
+            if marks % 2:
                 inside = not inside
-        rest = 1.0 - self.model["floor"]
-        for value in best.values():
-            rest *= 1.0 - value
-        return 1.0 - rest, hits
+        best = running = 0.0
+        first = 0
+        for at, weight in places:
+            running += weight
+            while at - places[first][0] >= WINDOW:
+                running -= places[first][1]
+                first += 1
+            best = max(best, running)
+        return best, len(places)
+
+    def score(self, text: str) -> tuple[float, int]:
+        """(score, number of hits) of a whole text; 0 without words."""
+        found, hits = self.evidence(text)
+        slope, level = self.model["curve"]
+        if not found and not text.strip():
+            return 0.0, 0
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, slope * found + level)))), hits
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = 20_000) -> DataFrame:
