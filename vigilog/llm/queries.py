@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilog.llm import chat, language, mixing, packing, sharding, toxicity
+from vigilog.llm import chat, language, minhash, mixing, packing, sharding, toxicity
 from vigilog.llm.frame import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,10 @@ def op9_mixture(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"))
     mixed = mixing.mix(docs, F.col("words"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+@query
+def op10_near_duplicates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = minhash.near_duplicates(docs)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
