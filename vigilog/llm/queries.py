@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilog.llm import chat, language, minhash, mixing, packing, sharding, toxicity
+from vigilog.llm import chat, chunks, language, minhash, mixing, packing, sharding, toxicity
 from vigilog.llm.frame import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,6 +118,11 @@ def op6_packing(spark, sf_dir):
     return packing.place(cut).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op7_repeats(spark, sf_dir):
+    return chunks.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op8_shards(spark, sf_dir):
     text = F.col("text")
