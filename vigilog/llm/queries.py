@@ -5,8 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilog.llm import chat, chunks, language, minhash, mixing, packing, sharding, toxicity
+from vigilog.llm import chat, chunks, language, minhash, mixing, packing, polytope, sharding, topk, toxicity
 from vigilog.llm.frame import word_count
+from vigilog.llm.vectors import usable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,6 +112,30 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op4_inner_products(spark, sf_dir):
+    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    # floor() of a non-finite double would come out as a number, so such vectors go first.
+    vectors = table(spark, sf_dir, "embeddings").where(usable(F.col("embedding"))).select("vec_id", scaled.alias("vector"))
+    return topk.top_inner_products(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+ORACLES["op4_inner_products"] = """
+with v as (select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as vector from embeddings
+ where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+e as (select vec_id, unnest(vector) as x, unnest(range(len(vector))) as i, len(vector) as n from v),
+s as (select q.vec_id as query_id, c.vec_id, cast(sum(q.x * c.x) as bigint) as score from e q join e c on c.i = q.i and c.n = q.n and c.vec_id <> q.vec_id
+ where q.vec_id % 50 = 0 group by 1, 2)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 5
+"""
+
+
+@query
+def op5_near_vectors(spark, sf_dir):
+    return polytope.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).select("vec_id", "n_links", "component_id", "kept")
+
+
 @query
 def op6_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
