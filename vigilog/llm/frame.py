@@ -22,6 +22,18 @@ def unpack(df: DataFrame, names: list[str], results: dict[str, Column]) -> DataF
     return df.select(*kept, *[c.alias(n) for n, c in results.items()])
 
 
+def flat(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` by number, so that those not asked for later are never read back."""
+    return [col(c).alias(f"_c{i}") for i, c in enumerate(df.columns)]
+
+
+def unflat(df: DataFrame, names: list[str], results: dict[str, Column]) -> DataFrame:
+    """As ``unpack``, for columns by number."""
+    taken = {r.lower() for r in results}
+    kept = [F.col(f"_c{i}").alias(c) for i, c in enumerate(names) if c.lower() not in taken]
+    return df.select(*kept, *[c.alias(n) for n, c in results.items()])
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 where it is null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.llm.components import Sets, by_group, connected, in_cells
-from vigilog.llm.frame import col, pack, unpack
+from vigilog.llm.frame import flat, unflat
 from vigilog.storage import materialize
 
 SHINGLE = 5
@@ -96,7 +96,7 @@ def band_keys(coordinates: np.ndarray, band: int = BAND) -> np.ndarray:
 
 
 def classes_of(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """The marked rows ``(_id, _text, _n, _set, ...)`` and their distinct sets."""
+    """The rows with their set's size and digest, sketch and band keys, written once; and the row that stands for each set."""
     shape = "_n long, _set long, _sketch binary, _keys array<long>"
 
     @F.pandas_udf(shape)
@@ -113,8 +113,11 @@ def classes_of(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFra
             rows.append((len(s), digest ^ len(s), (c & np.uint64(255)).astype(np.uint8).tobytes(), band_keys(c)))
         return pd.DataFrame(rows, columns=["_n", "_set", "_sketch", "_keys"])
 
-    raw = docs.select(pack(docs), col(key).alias("_id"), col(text).cast("string").alias("_text"))
-    marks = materialize(raw.select("_row", "_id", "_text", mark("_text").alias("_m")).select("_row", "_id", "_text", "_m.*").withColumn("_number", F.monotonically_increasing_id()), "marks")
+    at = {name.lower(): F.col(f"_c{i}") for i, name in enumerate(docs.columns)}
+    marks = docs.select(*flat(docs)).select("*", mark(at[text.lower()].cast("string")).alias("_m"))
+    marks = materialize(marks.select("*", "_m.*").drop("_m").withColumn("_number", F.monotonically_increasing_id()), "marks")
+    # The key and the text by names of their own: the same columns, read only where asked for.
+    marks = marks.withColumn("_id", at[key.lower()]).withColumn("_text", at[text.lower()].cast("string"))
     # One row stands for each set; its number is in the written table, so it names the same row in every job.
     chosen = marks.where("_n > 0").groupBy("_set").agg(F.min("_number").alias("_number"))
     return marks, chosen
@@ -208,15 +211,17 @@ def verified(marks: DataFrame, chosen: DataFrame, candidates: DataFrame, similar
     return by_group(cells, ["component", "_i", "_j"], link, "a long, b long")
 
 
-def _linked(docs: DataFrame, key: str, text: str, similarity: tuple[int, int]) -> DataFrame:
-    """The marked rows with ``_label``: equal for rows that links connect, null for empty sets."""
+def _linked(docs: DataFrame, key: str, text: str, similarity: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """The marked rows, and without their texts ``(_number, _id, _n, _label)``: the label is
+    equal for rows that links connect and null for empty sets."""
     marks, chosen = classes_of(docs, key, text)
     chosen = materialize(chosen, "chosen")
     candidates = materialize(connected(likely_pairs(marks, chosen)), "components")
     links = materialize(verified(marks, chosen, candidates, similarity), "links")
     labels = connected(links).select(F.col("id").alias("_set"), "component")
-    rows = marks.join(labels, "_set", "left")
-    return rows.withColumn("_label", F.when(F.col("_n") > 0, F.coalesce("component", "_set")))
+    rows = marks.select("_number", "_id", "_n", "_set").join(labels, "_set", "left")
+    label = F.when(F.col("_n") > 0, F.coalesce("component", "_set"))
+    return marks, materialize(rows.select("_number", "_id", "_n", label.alias("_label")), "labels")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -230,11 +235,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     its rows are kept. Texts are read whole. An empty table gives an empty result; a result
     replaces an input column of the same name.
     """
-    linked = materialize(_linked(docs, key, text, similarity).select("_row", "_id", "_n", "_label"), "linked")
-    least = linked.where("_label is not null").groupBy("_label").agg(F.min("_id").alias("_least"))
-    joined = linked.join(least, "_label", "left")
+    marks, labels = _linked(docs, key, text, similarity)
+    least = labels.where("_label is not null").groupBy("_label").agg(F.min("_id").alias("_least"))
     component = F.when(F.col("_label").isNull(), F.col("_id")).otherwise(F.col("_least"))
-    return unpack(joined, docs.columns, {"n_shingles": F.col("_n"), "component_id": component, "kept": F.col("_id").eqNullSafe(component)})
+    found = labels.join(least, "_label", "left").select("_number", component.alias("_component"))
+    joined = marks.join(found, "_number")
+    return unflat(joined, docs.columns, {"n_shingles": F.col("_n"), "component_id": F.col("_component"), "kept": F.col("_id").eqNullSafe(F.col("_component"))})
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -242,8 +248,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
 
     Rows with an empty set all stay.
     """
-    linked = materialize(_linked(docs, key, text, similarity).select("_row", "_id", "_number", "_label"), "linked")
+    marks, labels = _linked(docs, key, text, similarity)
     order = F.struct(F.col("_id").isNull(), "_id", "_number")
-    first = linked.where("_label is not null").groupBy("_label").agg(F.min(order).getField("_number").alias("_number"))
-    kept = linked.join(first.select("_number"), "_number", "left_semi").unionByName(linked.where("_label is null"), allowMissingColumns=True)
-    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    first = labels.where("_label is not null").groupBy("_label").agg(F.min(order).getField("_number").alias("_number"))
+    kept = first.select("_number").unionByName(labels.where("_label is null").select("_number"))
+    return unflat(marks.join(kept, "_number", "left_semi"), docs.columns, {})
