@@ -10,7 +10,7 @@ from checks.sql import (
 )
 from vigilog.functions import lines as L
 from vigilog.functions import parse as P
-from vigilog.functions.numeric import round_exact
+from vigilog.functions.numeric import float_text, round_exact
 from vigilog.operators import evaluate, forest, inject, labels, paging, rolling, stats
 from vigilog.operators.quantiles import exact_quantile
 from vigilog.plans import scoring
@@ -422,6 +422,27 @@ def w3(spark, sf):
     )
 
 
+_SHOWN = [(f"{m}_{k}", d) for m in ("cpu", "mem") for k, d in (("z", 3), ("mean", 2), ("std", 2))]
+
+
+def _clear(x: str, digits: int) -> str:
+    """Rounded, and 0 so near to a tie that the order of additions decides."""
+    scaled = f"(abs({x}) * {10**digits})"
+    return f"case when abs({scaled} - floor({scaled}) - 0.5) < 0.0001 then 0.0 else {{}} end"
+
+
+@query(
+    "w3_figures",
+    f"{KEYED_SQL} select host_id, line_no, "
+    + ", ".join(f"round({_clear(c, d).format(c)}, {d}) + 0.0 as {c}" for c, d in _SHOWN)
+    + " from d where smart_alert = 1",
+)
+def w3_figures(spark, sf):
+    alerts = rolling.smart_alerts(entries(spark, sf), stream_key="host_id", block_rows=BLOCK).where("smart_alert = 1")
+    shown = rolling.with_rounded_check(alerts)
+    return shown.selectExpr("host_id", "line_no", *[f"{_clear(c, d).format(f'{c}_shown')} + 0.0D as {c}" for c, d in _SHOWN])
+
+
 @query("w4_static", f"{GLOBAL_SQL} select line_no, static_alert from d")
 def w4(spark, sf):
     return rolling.with_static_alert(entries(spark, sf)).select("line_no", "static_alert")
@@ -501,6 +522,19 @@ def l5(spark, sf):
     return paging.top_process(snapshots, ["host", "snapshot"]).drop("top_proc")
 
 
+@query("l1_all_pages", f"{ENTRIES_SQL} select line_no % 500 as line_no, cpu_max_pct, is_anomaly from e")
+def l1_pages(spark, sf):
+    # Order values tie as those of several files do; deep pages put together are the table.
+    table = materialize(entries(spark, sf).withColumn("line_no", F.col("line_no") % 500), "entries")
+    n = table.count()
+    size = -(-n // 6)
+    pages = [paging.page_of_records(table, p, size, order_col=["line_no", "cpu_max_pct"], shallow_rows=0) for p in range(1, 7)]
+    whole = pages[0]
+    for page in pages[1:]:
+        whole = whole.unionByName(page)
+    return whole.select("line_no", "cpu_max_pct", "is_anomaly")
+
+
 @query("l6_sample", f"{ENTRIES_SQL} select {FLAT} from e order by line_no limit 1")
 def l6(spark, sf):
     return paging.first_record(entries(spark, sf)).select(*TABLE_SCHEMA.names)
@@ -509,6 +543,29 @@ def l6(spark, sf):
 # --- sources and sinks -------------------------------------------------------
 
 
+@query(
+    "s2_csv_dialect",
+    f"""{ENTRIES_SQL} select line_no, case line_no % 4 when 0 then 'a"b' when 1 then 'x,\\' when 2 then '\\"q,' else status end as status from e""",
+)
+def s2_csv(spark, sf):
+    status = F.expr(r"""case line_no % 4 when 0 then 'a"b' when 1 then r'x,\' when 2 then r'\"q,' else status end""")
+    path = scratch_path(spark, "csv")
+    table_sink.write_entries(entries(spark, sf).withColumn("status", status), path, "csv")
+    return table_source.read_entries(spark, path, "csv").select("line_no", "status")
+
+
+@query(
+    "p15_digits",
+    "select event_id, event_id / 2000.0 as small, event_id * 1234.5678 + 12345678.123456 as large from events",
+)
+def p15_digits(spark, sf):
+    small, large = F.col("event_id") / 2000.0, F.col("event_id") * 1234.5678 + 12345678.123456
+    texts = events(spark, sf).select("event_id", small.alias("small"), large.alias("large")).select("event_id", float_text("small").alias("small"), float_text("large").alias("large"))
+    # Plain digits only, as the line format asks for; anything else is null here.
+    plain = lambda c: F.when(F.col(c).rlike(r"^[0-9]+[.][0-9]+$"), F.col(c).cast("double")).alias(c)
+    return texts.select("event_id", plain("small"), plain("large"))
+
+
 @query("s2_scan", f"{ENTRIES_SQL} select line_no, cpu_max_pct, anomaly_type from e where is_anomaly=1")
 def s2(spark, sf):
     path = scratch_path(spark, "table")
@@ -665,6 +722,115 @@ def m4(spark, sf):
     return model.nodes
 
 
+@query(
+    "m4_facts",
+    f"""{ENTRIES_SQL}, n as (select least(256, count(*)) as n from e)
+    select cast(i as integer) as tree, cast(n as integer) as root_rows, cast(n as bigint) as leaf_rows from n, range(100) r(i)""",
+)
+def m4_facts(spark, sf):
+    nodes = trained(spark, sf)[1].nodes
+    leaf = F.col("feature") < 0
+    return nodes.groupBy("tree").agg(
+        F.max(F.when(F.col("node") == 0, F.col("size"))).alias("root_rows"), F.sum(F.when(leaf, F.col("size"))).alias("leaf_rows")
+    )
+
+
+@query("m5_facts", f"{ENTRIES_SQL} select line_no, true as in_range from e")
+def m5_facts(spark, sf):
+    table, model = trained(spark, sf)
+    score = F.col("score")
+    return forest.with_score(table, model).select("line_no", ((score > -1) & (score < 0)).alias("in_range"))
+
+
+_AGREE = "coalesce(is_anomaly = greatest(iso_anomaly, smart_alert) and label = case when is_anomaly = 1 then 'ANOMALY' else 'NORMAL' end, false) as agrees"
+
+
+@query("m8_facts", f"{GLOBAL_SQL} select line_no, smart_alert, true as agrees from d")
+def m8_facts(spark, sf):
+    return m8(spark, sf).selectExpr("line_no", "smart_alert", _AGREE)
+
+
+@query(
+    "m9_facts",
+    f"""{GLOBAL_SQL} select line_no, smart_alert, true as agrees, cpu_max_pct, mem_used_pct, "timestamp", top_proc_name as top_proc from d""",
+)
+def m9_facts(spark, sf):
+    return m9(spark, sf).selectExpr("line_no", "smart_alert", _AGREE, "cpu_max_pct", "mem_used_pct", "timestamp", "top_proc")
+
+
+@query("m9_stream_facts", f"{KEYED_SQL} select host_id, line_no, smart_alert, true as agrees from d")
+def m9_stream_facts(spark, sf):
+    return m9_stream(spark, sf).selectExpr("host_id", "line_no", "smart_alert", _AGREE)
+
+
+@query("m10_facts", f"{GLOBAL_SQL} select line_no, smart_alert, true as agrees, true as in_range from d")
+def m10_facts(spark, sf):
+    return m10(spark, sf).selectExpr("line_no", "smart_alert", _AGREE, "score > -1 and score < 0 as in_range")
+
+
+@query("k4_facts", f"{ENTRIES_SQL} select count(*) as scored, 0.0::double as greatest_difference from e")
+def k4_facts(spark, sf):
+    table, model = trained(spark, sf)
+    path = scratch_path(spark, "model")
+    table_sink.write_model(model, path)
+    before = forest.with_score(table, model).withColumnRenamed("score", "_before").select("line_no", "_before")
+    after = forest.with_score(table, table_source.read_model(spark, path)).select("line_no", "score")
+    return before.join(after, "line_no").agg(F.count(F.lit(1)).alias("scored"), F.max(F.abs(F.col("score") - F.col("_before"))).alias("greatest_difference"))
+
+
+@query(
+    "l3_facts",
+    f"""{GLOBAL_SQL} select line_no, cpu_max_pct as cpu, mem_used_pct as mem, case when smart_alert = 1 then 'ANOMALY' else 'NORMAL' end as smart_label
+    from d order by line_no limit 5""",
+)
+def l3_facts(spark, sf):
+    return l3(spark, sf).select("line_no", "cpu", "mem", "smart_label")
+
+
+@query("a9_facts", f"{ENTRIES_SQL} select count(*) as total, true as adds_up from e")
+def a9_facts(spark, sf):
+    table, model = trained(spark, sf)
+    scored = materialize(scoring.scored_entries(table, model, block_rows=BLOCK), "scored")
+    sums = scored.agg(F.sum("is_anomaly").alias("flagged"), F.count(F.lit(1)).alias("rows")).first()
+    return stats.verdict_totals(scored).selectExpr(
+        "total", f"normals + anomalies = total and anomalies = {sums.flagged} and total = {sums.rows} as adds_up"
+    )
+
+
+@query("a13_facts", f"{ENTRIES_SQL} select count(*) as total, true as below_quantile, 0.05::double as contamination from e")
+def a13_facts(spark, sf):
+    table, model = trained(spark, sf)
+    scores = materialize(forest.with_score(table, model).select("score"), "scores")
+    # Spark's exact percentile interpolates linearly, as the offset has to.
+    below = scores.agg(F.expr("percentile(score, 0.05)").alias("p")).join(scores).where("score < p").count()
+    report = a13(spark, sf)
+    return report.selectExpr("total", f"anomalies = {below} and anomalies + normals = total as below_quantile", "contamination")
+
+
+@query(
+    "a6_forest",
+    f"{ENTRIES_SQL} select count(*) filter (is_anomaly = 0) as normal, count(*) filter (is_anomaly = 1) as labelled, count(*) as total from e",
+)
+def a6_forest(spark, sf):
+    table, model = trained(spark, sf)
+    scored = forest.with_score(table, model).withColumn("iso_anomaly", forest.iso_flag(F.col("score"), model.meta["offset"]))
+    return evaluate.confusion_matrix(scored, predicted="iso_anomaly").selectExpr("tn + fp as normal", "fn + tp as labelled", "tn + fp + fn + tp as total")
+
+
+@query(
+    "m6_mixed_sizes",
+    """with v as (select case when event_id % 7 = 0 then null when event_id % 7 = 1 then 1e300 / (event_id + 1) when event_id % 7 = 2 then -1e-290 * event_id
+      else (event_id % 1000) * 1e-3 end as x from events)
+    select p, quantile_cont(x, 0.25) as at_quarter, quantile_cont(x, 0.9) as at_most from v, (values (1)) t(p) where x is not null group by p""",
+)
+def m6_mixed(spark, sf):
+    i = F.col("event_id")
+    x = F.when(i % 7 == 0, F.lit(float("nan"))).when(i % 7 == 1, 1e300 / (i + 1)).when(i % 7 == 2, -1e-290 * i).otherwise((i % 1000) * 1e-3)
+    values = materialize(events(spark, sf).select(x.alias("x")), "values")
+    row = (1, exact_quantile(values, "x", 0.25), exact_quantile(values, "x", 0.9))
+    return values.limit(1).select(F.lit(row[0]).alias("p"), F.lit(row[1]).alias("at_quarter"), F.lit(row[2]).alias("at_most"))
+
+
 @query("m5_score")
 def m5(spark, sf):
     table, model = trained(spark, sf)
@@ -833,14 +999,66 @@ def t1(spark, sf):
     count(*) as parsed, cast(sum(is_anomaly) as bigint) as anomalies from e""",
 )
 def a10(spark, sf):
-    run = alert_stream.run_alerts(
-        envelopes(lines_of(event_stream(spark, sf))),
-        scratch_path(spark, "alerts"), scratch_path(spark, "alerts-progress"),
+    counts = replayed(spark, sf)[1]
+    return alert_stream.stream_counts(spark, counts).select("received", "parsed", "anomalies")
+
+
+def replayed(spark, sf, batches: int = 124):
+    """The lines as so many files, one a batch, with a restart half way: entries, counts and number of batches."""
+    inbox, out, progress = (scratch_path(spark, x) for x in ("inbox", "alerts", "alerts-progress"))
+    lines = log_lines(spark, sf).select("line_no", "value").withColumn("half", F.col("line_no") % 2)
+    for half in (0, 1):
+        part = lines.where(F.col("half") == half).drop("half")
+        part.repartition(batches // 2, "line_no").sortWithinPartitions("line_no").write.mode("append").parquet(inbox)
+        sent = envelopes(replay.replay_lines(spark, inbox, max_files=1))
+        alert_stream.run_alerts(sent, out, progress).awaitTermination()
+    counts = alert_stream.counts_path(progress)
+    return spark.read.parquet(out), counts, spark.read.parquet(counts).select("batch").distinct().count()
+
+
+@query("t3_resume", f"{ENTRIES_SQL} select line_no as kafka_offset, is_anomaly from e")
+def t3(spark, sf):
+    return replayed(spark, sf, 8)[0].select("kafka_offset", F.col("is_anomaly").cast("int").alias("is_anomaly"))
+
+
+@query("t4_back_pressure", f"{ENTRIES_SQL} select count(*) as parsed, true as bounded from e")
+def t4(spark, sf):
+    # Eight files, one allowed in a batch: at least eight batches, and none above its file.
+    entries_, counts, batches = replayed(spark, sf, 8)
+    most = spark.read.parquet(counts).agg(F.max("received") <= F.lit(-(-log_lines(spark, sf).count() // 4))).first()[0]
+    return entries_.agg(F.count(F.lit(1)).alias("parsed"), F.lit(bool(batches >= 8 and most)).alias("bounded"))
+
+
+@query(
+    "t5_drained",
+    f"""{LINES_SQL} select line_no from l
+    where trim(value) <> '' and not contains(value, '===') and not contains(value, 'Log generator')""",
+)
+def t5(spark, sf):
+    # The query ends by itself and has taken all that was there.
+    out = scratch_path(spark, "drained")
+    run = (
+        envelopes(lines_of(event_stream(spark, sf))).writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", scratch_path(spark, "drained-progress")).trigger(availableNow=True).start()
     )
     run.awaitTermination()
-    counts = alert_stream.stream_counts(run)
-    row = (counts["received"], counts["parsed"], counts["anomalies"])
-    return spark.createDataFrame([row], "received bigint, parsed bigint, anomalies bigint")
+    return spark.read.parquet(out).select("line_no")
+
+
+@query(
+    "s4_replay_text",
+    f"""{LINES_SQL} select line_no, value from l
+    where trim(value) <> '' and not contains(value, '===') and not contains(value, 'Log generator')""",
+)
+def s4_text(spark, sf):
+    folder, inbox, out = (scratch_path(spark, x) for x in ("text", "numbered", "sent"))
+    log_lines(spark, sf).repartitionByRange(1, "line_no").sortWithinPartitions("line_no").select("value").write.text(folder)
+    sent = envelopes(replay.replay_log(spark, folder, inbox))
+    (
+        sent.writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", scratch_path(spark, "sent-progress")).trigger(availableNow=True).start().awaitTermination()
+    )
+    return spark.read.parquet(out).select("line_no", F.col("raw_log").alias("value"))
 
 
 @query(

@@ -1,11 +1,20 @@
 """SQL fragments for DuckDB: lines, parse, rolling window."""
 
 from checks.inputs import LINES, METRICS
-from vigilog.functions.parse import CAPTURES, LINE_PATTERN, TYPE_PATTERN
 
 HEADER = (
     "={10,}|Log generator|PID\\s+:|Log file|Interval|Anomaly|Generator stopped"
 )
+# The input format written out again, apart from the engine's own.
+_NUMBER = "([0-9.]+)"
+_READINGS = (("MEM_PCT:", ""), ("MEM_AVAIL:", "MB"), ("DISK_R:", "MB"), ("DISK_W:", "MB"), ("NET_S:", "MB"), ("NET_R:", "MB"))
+LINE_PATTERN = (
+    "([0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2})\\s+[|]\\s+([0-9A-Za-z_]+)\\s+[|]\\s+CPU:[[]([0-9.,\\s]+)[]]"
+    + "".join(f"\\s+{name}{_NUMBER}{unit}" for name, unit in _READINGS)
+    + f"\\s+TOP_PROC:pid=([0-9]+)\\s+name=([0-9A-Za-z_]+)\\s+cpu={_NUMBER}%\\s+STATUS:(\\S+)"
+)
+TYPE_PATTERN = "ANOMALY:(CPU_SPIKE|MEM_SPIKE|DISK_FLOOD|NET_FLOOD)"
+CAPTURES = "timestamp level cpu mem_pct mem_avail disk_r disk_w net_s net_r pid proc_name proc_cpu status".split()
 _NAMES = "[" + ",".join(f"'{c}'" for c in CAPTURES) + "]"
 
 

@@ -34,9 +34,14 @@ def round_exact_sql(x: str, digits: int, ties: str = "even") -> str:
 
 
 def float_text_sql(x: str) -> str:
-    """Decimal text of a double; plain digits where Spark would print ``1.0E7``."""
-    plain = rf"regexp_replace(cast(cast({x} as decimal(38,4)) as string), r'(\.\d+?)0+$', '$1')"
-    return f"case when abs({x}) >= 1e7D and abs({x}) < 1e16D then {plain} else cast({x} as string) end"
+    """Decimal text of a double: all its digits, plainly, from 0.0001 up to 10^16.
+
+    That is where Python prints plain digits, and only such text is a number to the
+    line parser. Spark's own text holds the digits; it goes through a decimal, which
+    takes 16 digits before the point and 20 after it.
+    """
+    plain = rf"regexp_replace(cast(cast(cast({x} as string) as decimal(38,20)) as string), r'(\.\d+?)0+$', '$1')"
+    return f"case when abs({x}) >= 1e-4D and abs({x}) < 1e16D then {plain} else cast({x} as string) end"
 
 
 def float_text(name: str) -> Column:

@@ -1,8 +1,7 @@
 """Isolation Forest as Spark jobs (Liu, Ting and Zhou, 2008).
 
 Training needs 256 rows per tree, whatever the size of the table: one scan for
-the scaler, one that draws a bounded pool of rows by hash, and one tree per
-group. Scoring is a map over the table with the node table broadcast; its size
+the scaler, one that draws each tree's rows by hash, and one tree per group. Scoring is a map over the table with the node table broadcast; its size
 is bounded by trees x (2 x sample - 1) nodes.
 """
 
@@ -20,9 +19,8 @@ from vigilog.functions.settle import settle
 from vigilog.operators.labels import fill_features, verdict
 from vigilog.operators.quantiles import exact_quantile
 from vigilog.schema import CONTAMINATION, FEATURES, N_TREES, SAMPLE_SIZE, SEED
-from vigilog.storage import materialize
+from vigilog.storage import materialize, scratch
 
-POOL_FACTOR = 4
 NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, "
     "path double, size int"
@@ -112,18 +110,23 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple
     return nodes
 
 
-def _tree_samples(pool: DataFrame, ids: list[str], rate: float, size: int, trees: int, seed: int) -> DataFrame:
-    """``size`` rows per tree: the lowest hashes of each tree, prefiltered by ``rate``."""
-    tree = F.col("tree")
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "_u", uniform([*[F.col(c) for c in ids], tree], seed + 1)
-    )
-    lowest = Window.partitionBy("tree").orderBy("_u", *ids)
-    return (
-        drawn.where(F.col("_u") < rate)
-        .withColumn("_n", F.row_number().over(lowest))
-        .where(F.col("_n") <= size)
-    )
+def _tree_samples(rows: DataFrame, ids: list[str], rate: float, size: int, trees: int, seed: int) -> DataFrame:
+    """``size`` rows per tree out of all rows: each tree draws every row with chance ``rate``.
+
+    One hash of a row decides whether any tree draws it and, if so, which is the first
+    (a geometric skip); only then are the later trees' draws made. Of what a tree drew,
+    the lowest hashes stay. The work beyond that one hash is bounded by trees and size.
+    """
+    keys = [F.col(c) for c in ids]
+    miss = 1.0 - rate
+    u = uniform(keys, seed)
+    any_tree = 1.0 - miss**trees
+    first = F.least(F.lit(trees - 1), F.floor(F.log1p(-F.col("_u")) / F.lit(math.log(miss)))).cast("int") if rate < 1.0 else F.lit(0)
+    drawn = rows.withColumn("_u", u).where(F.col("_u") < any_tree).withColumn("_first", first)
+    later = drawn.withColumn("tree", F.explode(F.sequence(F.col("_first"), F.lit(trees - 1))))
+    own = (F.col("tree") == F.col("_first")) | (uniform([*keys, F.col("tree")], seed + 1) < rate)
+    lowest = Window.partitionBy("tree").orderBy(uniform([*keys, F.col("tree")], seed + 2), *ids)
+    return later.where(own).withColumn("_n", F.row_number().over(lowest)).where(F.col("_n") <= size).drop("_u", "_first")
 
 
 def fit_nodes(
@@ -132,14 +135,14 @@ def fit_nodes(
 ) -> DataFrame:
     """The node table of a forest over ``rows`` scaled rows, identified by ``ids``.
 
-    A pool of about POOL_FACTOR x trees x sample rows is drawn once; every tree
-    takes its own sample of it without replacement. Small tables are their own
-    pool. If chance leaves a tree short of rows, the draw is repeated over a
-    larger pool, at last over the whole table.
+    Every tree takes its own sample of the whole table without replacement, in one scan
+    that is the same at any size. If chance leaves a tree short of rows, the draw is
+    repeated at a higher rate, at last over all rows.
     """
     size = min(sample, rows)
     limit = math.ceil(math.log2(max(size, 2)))
-    wanted = POOL_FACTOR * trees * size
+    # So many drawn rows fall short of ``size`` less than once in 10^9 trees.
+    rate = min(1.0, (1.6 * size + 40) / rows)
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iloc[0])
@@ -153,13 +156,8 @@ def fit_nodes(
         return out.astype({"left": "Int32", "right": "Int32"})
 
     while True:
-        share = min(1.0, wanted / rows)
-        pool = scaled.select(*ids, *features)
-        if share < 1.0:
-            pool = pool.where(uniform([F.col(c) for c in ids], seed) < share)
-        rate = min(1.0, 1.6 * size / (rows * share))
         nodes = materialize(
-            _tree_samples(pool, ids, rate, size, trees, seed)
+            _tree_samples(scaled.select(*ids, *features), ids, rate, size, trees, seed)
             .groupBy("tree")
             .applyInPandas(grow, NODE_SCHEMA),
             "forest-nodes",
@@ -167,9 +165,9 @@ def fit_nodes(
         full = nodes.where((F.col("node") == 0) & (F.col("size") == size)).count()
         if full == trees:
             return nodes
-        if share == 1.0 and rate == 1.0:
+        if rate == 1.0:
             raise ValueError(f"row ids {ids} do not identify the rows")
-        wanted *= 4
+        rate = min(1.0, 4 * rate)
 
 
 def fit_forest(
@@ -184,9 +182,20 @@ def fit_forest(
     total = df.count()
     if not total:
         raise ValueError("no rows to train on")
-    scaler = materialize(fit_scaler(df, features), "scaler")
+    with scratch(df.sparkSession):
+        return _fit(df, ids, total, features, trees, sample, contamination, seed)
+
+
+def _held(df: DataFrame) -> DataFrame:
+    """A small table by value; the folder it came from is not needed any more."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def _fit(df, ids, total, features, trees, sample, contamination, seed) -> ForestModel:
+    # A row for each feature, and at most trees x (2 x sample - 1) nodes.
+    scaler = _held(fit_scaler(df, features))
     scaled = apply_scaler(df, scaler, features)
-    nodes = fit_nodes(scaled, ids, total, features, trees, sample, seed)
+    nodes = _held(fit_nodes(scaled, ids, total, features, trees, sample, seed))
     model = ForestModel(
         scaler,
         nodes,

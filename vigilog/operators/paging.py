@@ -1,6 +1,6 @@
 """Pages, feeds, samples and top-k reports."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilog.operators.labels import hit_tag, label_filter
@@ -12,27 +12,61 @@ SHALLOW_ROWS = 100_000
 
 def page_of_records(
     df: DataFrame, page: int = 1, per_page: int = 50, which: str = "all",
-    order_col: str = "line_no", shallow_rows: int = SHALLOW_ROWS,
+    order_col: str | list[str] = "line_no", shallow_rows: int = SHALLOW_ROWS,
 ) -> DataFrame:
     """Page ``page`` (from 1) of the entries in file order.
 
-    A deep page first finds the order value of its first row by counting, then
-    reads only rows from there on; it does not sort the rows before it.
+    ``order_col`` is a column or several, such as file and line number. Ties are ordered
+    by a hash of the whole row, so that every row is on exactly one page. A deep page
+    first finds the order values of its first row by counting, then reads only rows from
+    there on; it does not sort the rows before it. Both ways give the same rows.
     """
     if page < 1 or per_page < 1:
         raise ValueError("page and per_page start at 1")
+    columns = [order_col] if isinstance(order_col, str) else list(order_col)
     rows = label_filter(df, which)
-    start = (page - 1) * per_page
-    if start <= shallow_rows:
-        return rows.orderBy(order_col).offset(start).limit(per_page)
-    first = value_at_rank(rows, order_col, start)
-    if first is None:
-        return rows.limit(0)
-    return page_after(rows, int(first) - 1, per_page, order_col)
+    skip = (page - 1) * per_page
+    if skip > shallow_rows:
+        found = _from_rank(rows, columns, skip, shallow_rows)
+        if found is None:
+            return rows.limit(0)
+        rows, skip = rows.where(found[0]), found[1]
+    return rows.orderBy(*columns, F.xxhash64(*df.columns)).offset(skip).limit(per_page)
+
+
+def _from_rank(rows: DataFrame, columns: list[str], rank: int, enough: int) -> tuple[Column, int] | None:
+    """A filter that keeps the row of 0-based ``rank`` and all after it, and how many kept rows come before it.
+
+    Where more than ``enough`` rows tie in a column before the wanted one, the next column decides.
+    """
+    name, x = columns[0], F.col(columns[0])
+    nulls = rows.where(x.isNull()).count()
+    if rank < nulls:
+        value, below, here = None, 0, x.isNull()
+        after = here | x.isNotNull()
+    else:
+        kind = dict(rows.select(name).dtypes)[name]
+        if kind in ("tinyint", "smallint", "int", "bigint"):
+            value = value_at_rank(rows, name, rank - nulls)
+            below = nulls + rows.where(x < value).count() if value is not None else 0
+        else:
+            # One row for each value, such as a file, is all that is ordered.
+            upto = F.sum("count").over(Window.orderBy(name).rowsBetween(Window.unboundedPreceding, 0))
+            first = rows.where(x.isNotNull()).groupBy(name).count().withColumn("_upto", upto).where(F.col("_upto") > rank - nulls).orderBy(name).first()
+            value = first[name] if first else None
+            below = nulls + first["_upto"] - first["count"] if first else 0
+        if value is None:
+            return None
+        here, after = x == F.lit(value), x >= F.lit(value)
+    if rank - below > enough and len(columns) > 1:
+        inner = _from_rank(rows.where(here), columns[1:], rank - below, enough)
+        beyond = x.isNotNull() if value is None else x > F.lit(value)
+        return (here & inner[0]) | beyond, inner[1]
+    return after, rank - below
 
 
 def page_after(df: DataFrame, last: int, per_page: int = 50, order_col: str = "line_no") -> DataFrame:
-    """The next rows after order value ``last``; the filter reaches the scan."""
+    """The next rows after order value ``last``, which must be unique; the filter reaches the scan."""
     return df.where(F.col(order_col) > last).orderBy(order_col).limit(per_page)
 
 
@@ -80,10 +114,10 @@ def first_record(df: DataFrame, order_col: str = "line_no") -> DataFrame:
 
 
 def top_process(snapshots: DataFrame, by: list[str]) -> DataFrame:
-    """Process with the highest CPU per group; null counts as 0, ties to the lowest pid."""
+    """Process with the highest CPU per group; null counts as 0, ties to the lowest pid, then the first name."""
     load = F.coalesce(F.col("cpu_percent"), F.lit(0.0))
     best = snapshots.groupBy(*by).agg(
-        F.max_by(F.struct("pid", "name", "cpu_percent"), F.struct(load, -F.col("pid"))).alias("p")
+        F.min_by(F.struct("pid", "name", "cpu_percent"), F.struct(-load, "pid", "name")).alias("p")
     )
     text = F.concat(
         F.lit("pid="), F.col("p.pid").cast("string"), F.lit(" name="), F.col("p.name"),

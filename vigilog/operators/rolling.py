@@ -29,7 +29,7 @@ def with_baseline(
     carry: list[str] | None = None,
     window: int = ROLLING_WINDOW,
     block_rows: int = BLOCK_ROWS,
-    dense: bool | None = None,
+    dense: bool = False,
 ) -> DataFrame:
     """Mean and population deviation of the previous ``window`` readings.
 
@@ -39,12 +39,12 @@ def with_baseline(
     ``window`` rows of every block ("tail") are taken from the same shuffle
     output, handed on to the next block of the stream, across thin blocks too,
     and dropped after the window is evaluated. Only the tails are ever ordered
-    per stream.
+    per stream; they hold the order and the two readings, not what is carried.
 
     ``dense`` says that the order values of a stream are nearly consecutive, as
     line numbers of a file are; then every block spans ``block_rows`` of them.
-    Otherwise (the default with ``stream_key``) a counting pass over key and
-    order finds spans that fill the blocks, see ``block_widths``.
+    Otherwise (the default) a counting pass over key and order finds spans that
+    fill the blocks, see ``block_widths``.
 
     Missing readings count as NaN and, as in any mean, silence the checks while
     they are in the window. Pass in ``carry`` the other columns to keep; what is
@@ -56,7 +56,7 @@ def with_baseline(
     rows = df.select(
         *[F.coalesce(F.col(c), nan).alias(c) if c in (CPU, MEM) else F.col(c) for c in names]
     )
-    if dense or (dense is None and not key):
+    if dense:
         rows = rows.withColumn("_block", _floor_to(order_col, F.lit(block_rows)))
     else:
         widths = block_widths(df, stream_key, order_col, block_rows)
@@ -69,11 +69,13 @@ def with_baseline(
     placed = rows.repartition(*home)
 
     newest = Window.partitionBy(*home).orderBy(F.desc(order_col))
+    # Always true; it names every column, so that rows and tails read one and the same shuffle.
+    shared = F.hash(*names) >= F.lit(-(1 << 31))
     tails = (
         placed.withColumn("_rank", F.row_number().over(newest))
-        .where(F.col("_rank") <= window)
+        .where((F.col("_rank") <= window) & shared)
         .groupBy(*home)
-        .agg(F.sort_array(F.collect_list(F.struct(order_col, *_without(names, key, order_col)))).alias("_tail"))
+        .agg(F.sort_array(F.collect_list(F.struct(order_col, CPU, MEM))).alias("_tail"))
     )
     # Every block has at least one row, so `window` earlier blocks are enough.
     earlier = Window.partitionBy(*key).orderBy("_block").rowsBetween(-window, -1)
@@ -82,8 +84,7 @@ def with_baseline(
     halo = (
         before.select(*home, F.explode(F.slice("_before", first, F.lit(window))).alias("_h"))
         .select(
-            *[F.col(c) if c in key else F.col(f"_h.{c}").alias(c) for c in names],
-            "_block",
+            *key, *[F.col(f"_h.{c}").alias(c) for c in (order_col, CPU, MEM)], "_block",
             F.lit(True).alias("_copy"),
         )
         .repartition(*home)
@@ -96,7 +97,7 @@ def with_baseline(
     kept = [f"`{c}`" for c in names]
     figures = (
         placed.withColumn("_copy", F.lit(False))
-        .unionByName(halo)
+        .unionByName(halo, allowMissingColumns=True)
         .selectExpr(
             *kept, "_copy",
             f"collect_list({CPU}) {over} as _cpu", f"collect_list({MEM}) {over} as _mem",
@@ -147,7 +148,8 @@ def _join_widths(rows: DataFrame, widths: DataFrame, stream_key: str | None) ->
     the rows, where adaptive execution splits the large streams.
     """
     if stream_key is None:
-        return rows.withColumn("_width", widths.scalar())
+        found = widths.first()
+        return rows.withColumn("_width", F.lit(found._width if found else None).cast("bigint"))
     widths = materialize(widths, "widths")
     streams = widths.count()
     if not streams:
@@ -158,10 +160,6 @@ def _join_widths(rows: DataFrame, widths: DataFrame, stream_key: str | None) ->
     return rows.join(widths, same, "left").drop("_stream")
 
 
-def _without(names: list[str], key: list[str], order_col: str) -> list[str]:
-    return [c for c in names if c not in key and c != order_col]
-
-
 def _check(metric: str, value: str) -> dict[str, Column]:
     """z, mean and std of one reading; unrounded."""
     enough = f"history >= {MIN_HISTORY}"

@@ -77,7 +77,8 @@ def stats_summary(
         F.try_divide(F.sum("mem_sum"), F.sum("mem_n")).alias("_mem_avg"),
         F.max("mem_top").alias("_mem_max"),
         F.map_from_entries(
-            F.collect_list(F.when(flagged, F.struct("anomaly_type", "n")))
+            # A null type is no key; such rows count in the totals only.
+            F.collect_list(F.when(flagged & F.col("anomaly_type").isNotNull(), F.struct("anomaly_type", "n")))
         ).alias("anomaly_types"),
     ).withColumn("_pct", F.try_divide(100 * F.col("anomalies"), F.col("total")))
     summary = one.select(

@@ -91,3 +91,6 @@ REPORT_SCHEMA = T.StructType(
         T.StructField("rolling_baseline", ROLLING_REPORT),
     ]
 )
+
+# Quotes inside a quoted field are doubled and a backslash is an ordinary sign.
+CSV_DIALECT = {"quote": '"', "escape": '"'}

@@ -18,7 +18,3 @@ def ok_lines(entries: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return entries.where(F.col("is_anomaly") == 0).select(
         *(keep or []), "cpu_max_pct", "mem_used_pct", "top_proc_name"
     )
-
-
-def write_alerts(entries: DataFrame, path: str) -> None:
-    alerts(entries).write.mode("append").parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vigilog.operators.labels import flatten
 from vigilog.operators.paging import first_record
-from vigilog.schema import FEATURES, REPORT_SCHEMA, ROLLING_REPORT, TABLE_SCHEMA
+from vigilog.schema import CSV_DIALECT, FEATURES, REPORT_SCHEMA, ROLLING_REPORT, TABLE_SCHEMA
 from vigilog.sources.tables import read_report
 
 
@@ -17,7 +17,7 @@ def write_entries(entries: DataFrame, path: str, fmt: str = "parquet") -> bool:
     if flat.isEmpty():
         return False
     writer = flat.write.mode("overwrite")
-    (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(path)
+    (writer.options(header=True, **CSV_DIALECT) if fmt == "csv" else writer).format(fmt).save(path)
     return True
 
 

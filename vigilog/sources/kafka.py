@@ -30,10 +30,14 @@ def source_options(
 
 
 def read_messages(spark: SparkSession, servers: str, **kw) -> DataFrame:
-    """Stream of ``value, topic, partition, offset``; needs the Kafka connector."""
+    """Stream of ``value`` and the broker's topic, partition and offset; needs the Kafka connector.
+
+    The broker's columns have names of their own, since envelopes hold a ``topic`` too;
+    pass them as ``keep`` to ``open_envelopes``. Together they are a message's key.
+    """
     reader = spark.readStream.format("kafka").options(**source_options(servers, **kw))
     return reader.load().select(
-        F.col("value").cast("string").alias("value"), "topic", "partition", "offset"
+        F.col("value").cast("string").alias("value"), *[F.col(c).alias(f"broker_{c}") for c in ("topic", "partition", "offset")]
     )
 
 

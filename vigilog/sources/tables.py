@@ -6,18 +6,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilog.schema import REPORT_SCHEMA, TABLE_SCHEMA
+from vigilog.schema import CSV_DIALECT, REPORT_SCHEMA, TABLE_SCHEMA
 
 
 def read_entries(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The parsed table with its fixed schema; a missing path is an error.
 
     Parquet is the working format (column pruning, pushed filters); ``csv`` is
-    for interchange.
+    for interchange, with quotes doubled inside quoted fields.
     """
     reader = spark.read.schema(TABLE_SCHEMA)
     if fmt == "csv":
-        return reader.option("header", True).option("enforceSchema", False).csv(path)
+        return reader.options(header=True, enforceSchema=False, multiLine=True, **CSV_DIALECT).csv(path)
     return reader.format(fmt).load(path)
 
 

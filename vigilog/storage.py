@@ -1,11 +1,16 @@
 """Shared-folder helpers: where jobs cut lineage and keep intermediate tables."""
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
@@ -16,7 +21,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return _local_root()
 
@@ -27,7 +32,11 @@ def _local_root() -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/vigilog/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/vigilog/{label}-{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -40,3 +49,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any file system that Spark knows."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owns every folder that ``materialize`` and ``scratch_path`` make inside, and removes them at the end.
+
+    Write or collect results inside; a DataFrame that still reads such a folder is of no
+    use afterwards. Scopes nest: a folder belongs to the innermost one.
+    """
+    token = _owned.set([])
+    try:
+        yield
+    finally:
+        mine = _owned.get()
+        _owned.reset(token)
+        for path in mine or []:
+            remove(spark, path)

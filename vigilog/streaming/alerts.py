@@ -1,69 +1,73 @@
 """Parse-and-alert stream, counters and totals."""
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigilog.functions.parse import PARSED, with_parse
 
-COUNTS = "stream_counts"
-
-
-def counted(envelopes: DataFrame) -> DataFrame:
-    """Envelopes parsed, with received/parsed/anomaly counts observed on the way.
-
-    ``received`` counts every message, also those that give no entry.
-    """
-    parsed = with_parse(envelopes, "raw_log")
-    return parsed.observe(
-        COUNTS,
-        F.count(F.lit(1)).alias("received"),
-        F.count_if(F.col("parse_status") == PARSED).alias("parsed"),
-        F.count_if(F.col("is_anomaly") == 1).alias("anomalies"),
-    )
+NAMES = ("received", "parsed", "anomalies")
 
 
 def run_alerts(
-    envelopes: DataFrame, out: str, checkpoint: str, available_now: bool = True
+    envelopes: DataFrame, out: str, checkpoint: str, available_now: bool = True, counts: str | None = None,
 ) -> StreamingQuery:
-    """Write every entry, alerts and OK entries in separate folders.
+    """Write every entry, alerts and OK entries in separate folders, and count every batch.
 
-    Without a key or an aggregate the job has no shuffle and no state. The file
-    sink and the checkpoint together store each entry once, also after a restart.
+    Without a key or an aggregate the job has no shuffle and no state. Entries go to
+    ``out/batch=n/is_anomaly=x``; a row of counts goes to ``counts/batch=n`` (by default
+    beside the checkpoint). A batch that is run again after a failure replaces its own
+    folders, so each entry is stored and counted once. A broker's own topic, partition
+    and offset stay as ``broker_topic``, ``broker_partition`` and ``broker_offset``; the
+    envelope's line number is ``kafka_offset``.
     """
+    tallies = counts or counts_path(checkpoint)
     fields = {
         "kafka_offset": F.col("line_no"),
         "producer_pid": F.col("producer"),
         "message_sent_at": F.col("sent_at"),
     }
-    found = (
-        counted(envelopes)
-        .where(F.col("parse_status") == PARSED)
-        .withColumns(fields)
-        .drop("parse_status", "raw_log", "line_no", "producer", "sent_at", "topic")
-    )
-    writer = (
-        found.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("is_anomaly")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-    )
+    used = ("parse_status", "raw_log", "line_no", "producer", "sent_at", "topic")
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        began = time.time()
+        seen = Observation()
+        parsed = with_parse(batch, "raw_log").observe(
+            seen,
+            F.count(F.lit(1)).alias("received"),
+            F.count_if(F.col("parse_status") == PARSED).alias("parsed"),
+            F.count_if(F.col("is_anomaly") == 1).alias("anomalies"),
+        )
+        found = parsed.where(F.col("parse_status") == PARSED).withColumns(fields).drop(*used)
+        found.write.mode("overwrite").partitionBy("is_anomaly").parquet(f"{out}/batch={batch_id}")
+        row = [(*(seen.get[n] or 0 for n in NAMES), began, time.time())]
+        tally = batch.sparkSession.createDataFrame(row, COUNT_SCHEMA)
+        tally.coalesce(1).write.mode("overwrite").parquet(f"{tallies}/batch={batch_id}")
+
+    writer = envelopes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def stream_counts(query: StreamingQuery) -> dict[str, float]:
-    """Counters and rate over the progress reports the query still holds."""
-    total = {"received": 0, "parsed": 0, "anomalies": 0}
-    seconds = 0.0
-    for p in query.recentProgress:
-        row = p.observedMetrics.get(COUNTS)
-        if row is not None:
-            for name in total:
-                total[name] += row[name]
-        seconds += p.batchDuration / 1000.0
-    rate = round(total["received"] / seconds, 1) if seconds else 0.0
-    return {**total, "seconds": round(seconds, 1), "rate": rate}
+COUNT_SCHEMA = "received bigint, parsed bigint, anomalies bigint, began double, ended double"
+
+
+def counts_path(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-counts"
+
+
+def stream_counts(spark: SparkSession, counts: str) -> DataFrame:
+    """One row: totals over all batches since the first start, elapsed seconds and rate.
+
+    ``received`` counts every message, also those that give no entry. A batch counts
+    once however often it was run.
+    """
+    total = spark.read.schema(COUNT_SCHEMA).parquet(f"{counts}/batch=*").agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in NAMES], (F.max("ended") - F.min("began")).alias("seconds"),
+    )
+    rate = F.when(F.col("seconds") > 0, F.round(F.col("received") / F.col("seconds"), 1)).otherwise(0.0)
+    return total.withColumn("rate", rate)
 
 
 def run_totals(

@@ -23,6 +23,7 @@ from vigilog.operators.rolling import (
     BLOCK_ROWS, CPU, MEM, smart_alerts, with_smart_alert, with_zscores,
 )
 from vigilog.schema import ROLLING_WINDOW
+from vigilog.storage import remove, scratch
 
 
 def run_by_blocks(
@@ -47,6 +48,13 @@ def run_by_blocks(
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         rows = batch.select(stream_key, order_col, CPU, MEM, *passed).persist()
+        try:
+            with scratch(session):
+                detect(session, rows, batch_id)
+        finally:
+            rows.unpersist()
+
+    def detect(session: SparkSession, rows: DataFrame, batch_id: int) -> None:
         if batch_id == 0:
             last = session.createDataFrame([], held)
         else:
@@ -75,20 +83,12 @@ def run_by_blocks(
             .select(stream_key, (ROLLING_WINDOW + 1 - F.col("_n")).cast("int").alias("place"), CPU, MEM)
             .write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
         )
-        rows.unpersist()
-        _drop(session, f"{state}/batch={batch_id - 3}")
+        remove(session, f"{state}/batch={batch_id - 3}")
 
     writer = entries.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    """Remove a state folder that no restart can ask for any more."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def preceding_stats(values: np.ndarray, before: int, window: int) -> tuple:
     """Count, mean and population deviation of the readings before each new one.
 
