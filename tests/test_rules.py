@@ -125,3 +125,32 @@ def test_no_folder_is_left(spark, table, tmp_path):
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     baseline.run_by_blocks(stream, "host", str(tmp_path / "found"), str(tmp_path / "state"), str(tmp_path / "progress"), block_rows=8).awaitTermination()
     assert held(spark) == before and len(os.listdir(tmp_path / "found")) >= 10
+
+
+def test_state_of_idle_streams_is_left_alone(spark, tmp_path):
+    """Only buckets with new rows get a version, and dead streams can be forgotten."""
+    from vigilog.streaming import baseline
+
+    shape = "host string, line_no bigint, cpu_max_pct double, mem_used_pct double"
+    state, n = str(tmp_path / "state"), 0
+    for part in range(5):
+        hosts = [f"h{i}" for i in range(40)] if part == 0 else ["h1", "h2"]
+        rows = []
+        for host in hosts:
+            for _ in range(25):
+                n += 1
+                rows.append((host, n, float(n % 17), 1.0))
+        spark.createDataFrame(rows, shape).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(shape).parquet(str(tmp_path / "in"))
+        baseline.run_by_blocks(
+            stream, "host", str(tmp_path / "out"), state, str(tmp_path / "progress"), buckets=8, forget_after=2
+        ).awaitTermination()
+        written = {b: sorted(os.listdir(f"{state}/{b}")) for b in os.listdir(state) if b.startswith("bucket=")}
+        if part:
+            touched = [b for b, v in written.items() if f"batch={part}" in v]
+            assert 1 <= len(touched) <= 2 and all(len(v) <= 2 for v in written.values())
+    left = {r.host for r in spark.read.parquet(*[f"{state}/{b}/batch=4" for b in touched]).collect()}
+    assert left == {"h1", "h2"} if len(touched) == 2 else left == {"h1", "h2"}
+    got = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "out"))
+    late = got.where("host = 'h1' and history = 20").count()
+    assert got.count() == 40 * 25 + 4 * 50 and late == 5 * 25 - 20

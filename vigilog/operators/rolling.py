@@ -30,6 +30,7 @@ def with_baseline(
     window: int = ROLLING_WINDOW,
     block_rows: int = BLOCK_ROWS,
     dense: bool = False,
+    cut: bool = True,
 ) -> DataFrame:
     """Mean and population deviation of the previous ``window`` readings.
 
@@ -44,7 +45,8 @@ def with_baseline(
     ``dense`` says that the order values of a stream are nearly consecutive, as
     line numbers of a file are; then every block spans ``block_rows`` of them.
     Otherwise (the default) a counting pass over key and order finds spans that
-    fill the blocks, see ``block_widths``.
+    fill the blocks, see ``block_widths``. Without ``cut`` each stream is one block,
+    for tables known to hold fewer than ``block_rows`` rows, such as a micro-batch.
 
     Missing readings count as NaN and, as in any mean, silence the checks while
     they are in the window. Pass in ``carry`` the other columns to keep; what is
@@ -56,7 +58,9 @@ def with_baseline(
     rows = df.select(
         *[F.coalesce(F.col(c), nan).alias(c) if c in (CPU, MEM) else F.col(c) for c in names]
     )
-    if dense:
+    if not cut:
+        rows = rows.withColumn("_block", F.lit(0).cast("bigint"))
+    elif dense:
         rows = rows.withColumn("_block", _floor_to(order_col, F.lit(block_rows)))
     else:
         widths = block_widths(df, stream_key, order_col, block_rows)

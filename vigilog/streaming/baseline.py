@@ -26,24 +26,34 @@ from vigilog.schema import ROLLING_WINDOW
 from vigilog.storage import remove, scratch
 
 
+BUCKETS = 64
+
+
 def run_by_blocks(
     entries: DataFrame, stream_key: str, out: str, state: str, checkpoint: str,
     order_col: str = "line_no", carry: list[str] | None = None,
     available_now: bool = True, block_rows: int = BLOCK_ROWS,
     finish: Callable[[DataFrame], DataFrame] | None = None,
+    buckets: int = BUCKETS, forget_after: int | None = None,
 ) -> StreamingQuery:
-    """Detections to ``out``; the last readings per stream, by batch, to ``state``.
+    """Detections to ``out``; the last readings per stream to ``state``.
 
     ``finish`` is applied to the detections of a batch before they are written.
 
-    Batch ``n`` reads the state of batch ``n - 1`` and replaces its own output
-    and state folders, so a batch that is run again after a failure leaves the
-    same files. Within a batch rows are ordered by ``order_col``; rows of a later
-    batch come after all earlier ones.
+    State lies in ``buckets`` folders by a hash of the stream, with a version for each
+    batch that touched the bucket. Batch ``n`` reads the newest version before ``n`` of the
+    buckets its rows fall into, and replaces its own output and versions, so a batch that is
+    run again after a failure leaves the same files. Other buckets are neither read nor
+    written, and only streams with new rows are windowed. ``forget_after`` drops a stream,
+    when its bucket is next written, that had no row in so many batches.
+
+    Within a batch rows are ordered by ``order_col``; rows of a later batch come after all
+    earlier ones. Keep ``buckets`` as it was when the checkpoint began.
     """
     passed = list(carry or [])
     kind = dict(entries.select(stream_key).dtypes)[stream_key]
-    held = f"{stream_key} {kind}, place int, {CPU} double, {MEM} double"
+    held = f"{stream_key} {kind}, place int, {CPU} double, {MEM} double, seen bigint"
+    bucket = F.pmod(F.xxhash64(stream_key), F.lit(buckets)).cast("int")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -55,16 +65,16 @@ def run_by_blocks(
             rows.unpersist()
 
     def detect(session: SparkSession, rows: DataFrame, batch_id: int) -> None:
-        if batch_id == 0:
-            last = session.createDataFrame([], held)
-        else:
-            last = session.read.schema(held).parquet(f"{state}/batch={batch_id - 1}")
-        starts = rows.groupBy(stream_key).agg(F.min(order_col).alias("_start"))
+        size = rows.agg(F.count(F.lit(1)).alias("n"), F.collect_set(bucket).alias("touched")).first()
+        versions = {b: _versions(session, f"{state}/bucket={b}", batch_id) for b in size.touched}
+        paths = [f"{state}/bucket={b}/batch={v[-1]}" for b, v in versions.items() if v]
+        last = session.read.schema(held).parquet(*paths) if paths else session.createDataFrame([], held)
+        starts = rows.groupBy(stream_key).agg(F.min(order_col).alias("_start")).withColumnRenamed(stream_key, "_stream")
+        active = F.col(stream_key).eqNullSafe(F.col("_stream"))
         # Earlier readings take the order values just below the batch.
         place = F.coalesce(F.col("_start"), F.lit(0)) - (ROLLING_WINDOW + 1) + F.col("place")
-        earlier = last.join(starts, stream_key, "left").select(
-            stream_key, place.cast("bigint").alias("_pos"), CPU, MEM,
-            F.lit(False).alias("_new"),
+        earlier = last.join(starts, active).select(
+            stream_key, place.cast("bigint").alias("_pos"), CPU, MEM, F.lit(False).alias("_new")
         )
         whole = rows.select(
             stream_key, F.col(order_col).cast("bigint").alias("_pos"), CPU, MEM,
@@ -72,23 +82,43 @@ def run_by_blocks(
         ).unionByName(earlier, allowMissingColumns=True)
         found = smart_alerts(
             whole, stream_key=stream_key, order_col="_pos", carry=["_new", *passed],
-            block_rows=block_rows,
+            block_rows=block_rows, cut=size.n + ROLLING_WINDOW > block_rows,
         )
         fresh = found.where("_new").drop("_new").withColumnRenamed("_pos", order_col)
         (finish(fresh) if finish else fresh).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         newest = Window.partitionBy(stream_key).orderBy(F.desc("_pos"))
-        (
+        now = (
             whole.withColumn("_n", F.row_number().over(newest))
             .where(F.col("_n") <= ROLLING_WINDOW)
-            .select(stream_key, (ROLLING_WINDOW + 1 - F.col("_n")).cast("int").alias("place"), CPU, MEM)
-            .write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+            .select(stream_key, (ROLLING_WINDOW + 1 - F.col("_n")).cast("int").alias("place"), CPU, MEM, F.lit(batch_id).cast("bigint").alias("seen"))
         )
-        remove(session, f"{state}/batch={batch_id - 3}")
+        idle = last.join(starts, active, "left_anti")
+        if forget_after is not None:
+            idle = idle.where(F.col("seen") >= batch_id - forget_after)
+        (
+            now.unionByName(idle).withColumns({"bucket": bucket, "batch": F.lit(batch_id).cast("bigint")})
+            .repartition(min(buckets, max(1, len(size.touched))), "bucket")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(state)
+        )
+        for b, v in versions.items():
+            # A restart may ask for the newest version before this one, not for older ones.
+            for old in v[:-1]:
+                remove(session, f"{state}/bucket={b}/batch={old}")
 
     writer = entries.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def _versions(spark: SparkSession, folder: str, before: int) -> list[int]:
+    """Batches below ``before`` that have a version in a bucket's folder, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = (s.getPath().getName() for s in files.listStatus(path))
+    return sorted(v for n in names if n.startswith("batch=") and (v := int(n[6:])) < before)
+
+
 def preceding_stats(values: np.ndarray, before: int, window: int) -> tuple:
     """Count, mean and population deviation of the readings before each new one.
 
