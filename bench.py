@@ -4,6 +4,7 @@ Each job is run once to warm up and then timed; BENCH_COPIES > 1 repeats the
 log with other host numbers, for a larger input than the tables give.
 """
 
+import itertools
 import json
 import os
 import sys
@@ -18,7 +19,8 @@ from checks.inputs import log_lines  # noqa: E402
 from vigilog.functions.parse import parse_lines, with_parse  # noqa: E402
 from vigilog.operators import evaluate, forest, paging, rolling, stats  # noqa: E402
 from vigilog.plans import scoring  # noqa: E402
-from vigilog.storage import materialize  # noqa: E402
+from vigilog.storage import materialize, shared_root  # noqa: E402
+from vigilog.streaming import baseline  # noqa: E402
 
 
 def main() -> None:
@@ -50,6 +52,18 @@ def main() -> None:
     def sink(df):
         df.write.format("noop").mode("overwrite").save()
 
+    streams = itertools.count()
+
+    def stream_baseline():
+        """The entries as 20 files, one a batch, through the stateful baseline."""
+        folder = f"{shared_root(spark)}/bench-stream"
+        if not next(streams):
+            table.select("host_id", "line_no", "cpu_max_pct", "mem_used_pct").repartition(20, "line_no").write.mode("overwrite").parquet(f"{folder}/in")
+        here = f"{folder}/{next(streams)}"
+        rows = spark.read.parquet(f"{folder}/in")
+        arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        baseline.run_by_blocks(arriving, "host_id", f"{here}/out", f"{here}/state", f"{here}/progress").awaitTermination()
+
     jobs = {
         "parse_lines": lambda: sink(parse_lines(lines)),
         "parse_tally": lambda: stats.parse_tally(with_parse(lines)).collect(),
@@ -70,6 +84,7 @@ def main() -> None:
         "forest_fit": lambda: forest.fit_forest(table, ["line_no"]),
         "forest_score": lambda: sink(forest.with_score(table, model)),
         "scored_history": lambda: sink(scoring.scored_history(table, model, **block)),
+        "stream_baseline": stream_baseline,
     }
     times = {}
     for name, job in jobs.items():
