@@ -4,7 +4,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vigilog.storage import materialize
@@ -14,20 +14,18 @@ def connected(edges: DataFrame) -> DataFrame:
     """``(id, component)`` for every end of the edges ``(a, b)``; a component is its smallest id.
 
     Large-star and small-star steps in turn, each a shuffle of the edges that are left, so
-    that long chains shrink by half or more a round. Every step is written to the shared
-    folder, which cuts the lineage and lets Spark split a hub's partition in the joins.
+    that long chains shrink by half or more a round. Steps are written to the shared
+    folder, which cuts the lineage and lets Spark split a hub's partition in the join.
     """
-    down = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    down, mark = _kept(down, "edges")
-    while True:
-        least = materialize(down.groupBy("a").agg(F.min("b").alias("m")), "least")
+    down, mark = _kept(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    while mark[0]:
         # Large star: what lies above b is tied to the least neighbour of b.
-        of_b = least.select(F.col("a").alias("b"), F.col("m").alias("mb"))
-        large, _ = _kept(down.join(of_b, "b", "left").select("a", F.coalesce("mb", "b").alias("b")).distinct(), "large")
+        of_b = materialize(down.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("m")), "least")
+        large = materialize(down.join(of_b, "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct(), "large")
         # Small star: what lies below a, and a, are tied to the least neighbour of a.
-        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        down, now = _kept(small.distinct(), "edges")
+        of_a = large.groupBy("a").agg(F.min("b").alias("m"))
+        below = large.join(of_a, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        down, now = _kept(below.unionByName(of_a.select("a", F.col("m").alias("b"))).distinct(), "edges")
         if now == mark:
             break
         mark = now
@@ -36,9 +34,11 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def _kept(edges: DataFrame, label: str) -> tuple[DataFrame, tuple]:
-    kept = materialize(edges, label)
-    mark = kept.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return kept, tuple(mark)
+    """The edges, written, and what tells whether they changed: their number and a sum of hashes."""
+    seen = Observation()
+    mark = F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 32)))
+    kept = materialize(edges.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("sum")), label)
+    return kept, (seen.get["n"], seen.get["sum"])
 
 
 def in_cells(rows: DataFrame, key: str, parts: Column, member: Column) -> DataFrame:
@@ -101,6 +101,40 @@ def by_group(rows: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(gathered, schema)
 
 
+def by_small_group(
+    rows: DataFrame, keys: list[str], work: Callable[[dict[str, np.ndarray]], tuple[np.ndarray, ...] | None], schema: str, names: list[str]
+) -> DataFrame:
+    """As ``by_group`` for very many groups of a few rows: ``work`` gets plain arrays by column
+    name and returns arrays by ``names``, or nothing. Groups of one row are passed over."""
+    columns = rows.columns
+
+    def cut(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: dict[str, np.ndarray] | None = None
+        for pdf in frames:
+            if not len(pdf):
+                continue
+            held = {c: pdf[c].to_numpy() for c in columns}
+            if waiting is not None:
+                held = {c: np.concatenate([waiting[c], held[c]]) for c in columns}
+            n = len(held[keys[0]])
+            new = np.zeros(n, bool)
+            for k in keys:
+                new[1:] |= held[k][1:] != held[k][:-1]
+            starts = [0, *np.flatnonzero(new).tolist()]
+            # The last group may go on in the next batch.
+            waiting = {c: v[starts[-1] :] for c, v in held.items()}
+            yield from found(held, starts)
+        if waiting is not None:
+            yield from found(waiting, [0, len(waiting[keys[0]])])
+
+    def found(held: dict[str, np.ndarray], starts: list[int]) -> Iterator[pd.DataFrame]:
+        some = [f for a, b in zip(starts, starts[1:]) if b - a > 1 and (f := work({c: v[a:b] for c, v in held.items()})) is not None]
+        if some:
+            yield pd.DataFrame({n: np.concatenate(x) for n, x in zip(names, zip(*some))})
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(cut, schema)
+
+
 class Sets:
     """Union-find over 0 to n - 1."""
 

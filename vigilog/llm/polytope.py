@@ -8,9 +8,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.components import Sets, by_group, connected, in_cells
+from vigilog.llm.components import Sets, by_small_group, connected, in_cells
 from vigilog.llm.frame import col, pack, unpack
-from vigilog.llm.vectors import doubles, matrix, packed, usable
+from vigilog.llm.vectors import doubles, packed, usable
 from vigilog.storage import materialize
 
 # 14 tables of three hashes, three probes on either side: a pair at cosine 0.95 in 64
@@ -76,7 +76,7 @@ def _hashed(docs: DataFrame, key: str, vector: str) -> DataFrame:
     """Distinct usable directions' bytes as ``_x``, with their keys; other rows have null ``_x``."""
     def mark(frames):
         for pdf in frames:
-            blobs, keys = [None] * len(pdf), [None] * len(pdf)
+            blobs, keys, codes = ([None] * len(pdf) for _ in range(3))
             by_size: dict[int, list[int]] = {}
             values = pdf["_v"].tolist()
             for i, v in enumerate(values):
@@ -92,48 +92,60 @@ def _hashed(docs: DataFrame, key: str, vector: str) -> DataFrame:
                 unit = x / scale[:, None]
                 unit /= np.sqrt((unit * unit).sum(axis=1))[:, None]
                 for i, row, k in zip(at, x, bucket_keys(unit)):
-                    blobs[i], keys[i] = packed(row), k.reshape(-1).tolist()
-            yield pd.DataFrame({"_number": pdf["_number"], "_x": pd.Series(blobs, pdf.index, object), "_keys": pd.Series(keys, pdf.index, object)})
+                    blobs[i], keys[i], codes[i] = packed(row), k.reshape(-1).tolist(), k.tobytes()
+            yield pd.DataFrame({"_number": pdf["_number"], "_x": pd.Series(blobs, pdf.index, object), "_keys": pd.Series(keys, pdf.index, object), "_codes": pd.Series(codes, pdf.index, object)})
 
     ids = materialize(
         docs.select(pack(docs), col(key).alias("_id"), F.when(usable(col(vector)), doubles(docs, vector)).alias("_v")).withColumn("_number", F.monotonically_increasing_id()),
         "vectors",
     )
-    found = ids.select("_number", "_v").mapInPandas(mark, "_number long, _x binary, _keys array<long>")
+    found = ids.select("_number", "_v").mapInPandas(mark, "_number long, _x binary, _keys array<long>, _codes binary")
     return ids.drop("_v"), materialize(found, "hashed")
 
 
 def linked(ids: np.ndarray, x: np.ndarray, keys: np.ndarray, copies: np.ndarray, bucket: int, cell: np.ndarray, inner: list[int], cosine: float):
     """Links within one bucket that no earlier bucket of both ends has: (spanning pairs, links of each row).
 
-    Pairs of different cells are looked at, and pairs within the cells of ``inner``.
+    Pairs of different cells are looked at, and pairs within the cells of ``inner``. A pair
+    counts, and may join two trees, only where it first meets: in no earlier table, and in
+    the least common bucket of this one.
     """
     n = len(ids)
     unit = x / np.abs(x).max(axis=1)[:, None]
     unit = unit / np.sqrt((unit * unit).sum(axis=1))[:, None]
-    counts, union, pairs = np.zeros(n, np.int64), Sets(n), []
+    near = unit @ unit.T
+    counts = np.zeros(n, np.int64)
+    a, b = np.nonzero(np.triu(near >= cosine - 1e-12, 1))
+    if len(inner) < len(np.unique(cell)):
+        own = (cell[a] != cell[b]) | np.isin(cell[a], inner)
+        a, b = a[own], b[own]
+    if not len(a):
+        return [], counts
+    # So near to the bound, sums are taken exactly.
+    close = np.flatnonzero(np.abs(near[a, b] - cosine) < 1e-12)
+    if len(close):
+        under = [i for i in close if math.fsum(unit[a[i]] * unit[b[i]]) < cosine]
+        a, b = np.delete(a, under), np.delete(b, under)
     table = int(np.flatnonzero((keys == bucket).any(axis=(0, 2)))[0])
-    for i in range(n - 1):
-        near = unit[i + 1 :] @ unit[i]
-        hit = near >= cosine
-        # So near to the bound, sums are taken exactly.
-        for j in np.flatnonzero(np.abs(near - cosine) < 1e-12):
-            hit[j] = math.fsum(unit[i] * unit[i + 1 + j]) >= cosine
-        if cell[i] not in inner:
-            hit &= cell[i + 1 :] != cell[i]
-        at = np.flatnonzero(hit) + i + 1
-        if not len(at):
-            continue
-        for j in at:
-            if union.join(i, int(j)):
-                pairs.append((ids[i], ids[j]))
-        # The pair counts where it first meets: in no earlier table, and in the least common bucket of this one.
-        met = (keys[at][:, :table, :, None] == keys[i][None, :table, None, :]).any(axis=(1, 2, 3))
-        same = keys[at][:, table, :, None] == keys[i][None, table, None, :]
-        least = np.where(same, keys[at][:, table, :, None], np.iinfo(np.int64).max).min(axis=(1, 2))
-        at = at[~met & (least == bucket)]
-        counts[at] += copies[i]
-        counts[i] += copies[at].sum()
+    for first in range(0, len(a), 1 << 14):
+        i, j = a[first : first + (1 << 14)], b[first : first + (1 << 14)]
+        for t in range(table):
+            met = np.zeros(len(i), bool)
+            for p in range(PROBES):
+                for q in range(PROBES):
+                    met |= keys[i, t, p] == keys[j, t, q]
+            i, j = i[~met], j[~met]
+            if not len(i):
+                break
+        if len(i):
+            same = keys[i, table][:, :, None] == keys[j, table][:, None, :]
+            least = np.where(same, keys[i, table][:, :, None], np.iinfo(np.int64).max).min(axis=(1, 2))
+            i, j = i[least == bucket], j[least == bucket]
+        np.add.at(counts, i, copies[j])
+        np.add.at(counts, j, copies[i])
+        kept = (i, j) if not first else (np.concatenate([kept[0], i]), np.concatenate([kept[1], j]))
+    union = Sets(n)
+    pairs = [(ids[i], ids[j]) for i, j in zip(kept[0].tolist(), kept[1].tolist()) if union.join(i, j)]
     return pairs, counts
 
 
@@ -153,26 +165,29 @@ def near_vectors(docs: DataFrame, key: str = "vec_id", vector: str = "embedding"
     """
     ids, hashed = _hashed(docs, key, vector)
     valid = hashed.where("_x is not null")
-    nodes = materialize(valid.groupBy("_x").agg(F.min("_number").alias("_node"), F.count(F.lit(1)).alias("_copies"), F.first("_keys").alias("_keys")), "nodes")
+    nodes = materialize(valid.groupBy("_x").agg(F.min("_number").alias("_node"), F.count(F.lit(1)).alias("_copies"), F.first("_keys").alias("_keys"), F.first("_codes").alias("_codes")), "nodes")
     held = nodes.select("_node", F.explode("_keys").alias("_bucket"))
     full = held.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1")
     cells = in_cells(held.join(full, "_bucket"), "_bucket", F.ceil(F.col("_count") / CELL), F.col("_node"))
     parts = F.ceil(F.col("_count") / CELL).cast("int")
     rows = cells.withColumn("_cell", F.pmod(F.xxhash64("_node"), parts).cast("int")).select("_bucket", "_i", "_j", "_cell", "_node")
-    rows = rows.join(nodes, "_node")
+    rows = rows.join(nodes.select("_node", "_x", "_codes", "_copies"), "_node")
 
-    def work(group: pd.DataFrame) -> pd.DataFrame:
-        i, j, cell = int(group["_i"].iloc[0]), int(group["_j"].iloc[0]), group["_cell"].to_numpy()
-        node = group["_node"].to_numpy()
-        keys = np.array(group["_keys"].tolist(), np.int64).reshape(len(node), TABLES, PROBES)
-        copies, bucket = group["_copies"].to_numpy(), int(group["_bucket"].iloc[0])
+    def work(group: dict[str, np.ndarray]):
+        i, j, node = int(group["_i"][0]), int(group["_j"][0]), group["_node"]
+        x = np.frombuffer(b"".join(group["_x"]), "<f8").reshape(len(node), -1)
+        keys = np.frombuffer(b"".join(group["_codes"]), np.int64).reshape(len(node), TABLES, PROBES)
         # Pairs within cell 0 belong to the first pair of cells that holds it, those within cell c to (0, c).
         inner = [c for c in {i, j} if i == j or i == 0 and (c == j or j == 1)]
-        pairs, counts = linked(node, matrix(group["_x"]), keys, copies, bucket, cell, inner, cosine)
-        out = [(int(a), int(b), 0) for a, b in pairs] + [(int(a), -1, int(c)) for a, c in zip(node, counts) if c]
-        return pd.DataFrame(out, columns=["a", "b", "links"]).astype(np.int64)
-
-    found = materialize(by_group(rows, ["_bucket", "_i", "_j"], work, "a long, b long, links long"), "links")
+        pairs, counts = linked(node, x, keys, group["_copies"], int(group["_bucket"][0]), group["_cell"], inner, cosine)
+        some = np.flatnonzero(counts)
+        if not pairs and not len(some):
+            return None
+        ends = np.array(pairs, np.int64).reshape(-1, 2)
+        none = np.full(len(some), -1)
+        return np.concatenate([ends[:, 0], node[some]]), np.concatenate([ends[:, 1], none]), np.concatenate([np.zeros(len(ends), np.int64), counts[some]])
+
+    found = materialize(by_small_group(rows, ["_bucket", "_i", "_j"], work, "a long, b long, links long", ["a", "b", "links"]), "links")
     links = found.where("b = -1").groupBy("a").agg(F.sum("links").alias("_links"))
     components = connected(found.where("b >= 0").select("a", "b"))
     labelled = (
