@@ -236,7 +236,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     replaces an input column of the same name.
     """
     marks, labels = _linked(docs, key, text, similarity)
-    least = labels.where("_label is not null").groupBy("_label").agg(F.min("_id").alias("_least"))
+    # Written, so that the join reads two plain tables and Spark can split a large component.
+    least = materialize(labels.where("_label is not null").groupBy("_label").agg(F.min("_id").alias("_least")), "least")
     component = F.when(F.col("_label").isNull(), F.col("_id")).otherwise(F.col("_least"))
     found = labels.join(least, "_label", "left").select("_number", component.alias("_component"))
     joined = marks.join(found, "_number")
