@@ -99,8 +99,8 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = 2,
 
     A document's ids (null text: none) are followed by ``end_id`` and cut at multiples of
     ``length``; ``ids`` is binary, little-endian unsigned 32-bit. Each row of ``docs`` is a
-    document, repeated rows too; other columns are carried and replaced by results of the
-    same name. An empty table gives no pieces. A very long text is held once, in one task.
+    document, repeated rows too; the other columns are carried, but for the text, which the
+    ids replace; results replace columns of their name. An empty table gives no pieces. A very long text is held once, in one task.
     """
     names = docs.columns
 
@@ -120,7 +120,7 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = 2,
                 found["length"] = found["ids"].str.len() // 4
                 yield pd.concat([pdf.drop(columns="_text").iloc[at].reset_index(drop=True), found], axis=1)
 
-    taken = {"start", "length", "ids", "doc_tokens"}
+    taken = {"start", "length", "ids", "doc_tokens", text.lower()}
     carried = [c for c in names if c.lower() not in taken]
     frame = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(carried)], col(text).cast("string").alias("_text"))
     schema = ", ".join([f"c{i} {frame.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(carried))] + ["start long, ids binary, doc_tokens long, length long"])
