@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.frame import col, pack
+from vigilog.llm.frame import col, pack, short_batches
 
 # A cut falls behind one in CUT_WORDS words, chosen by the eight bytes before it, so chunks
 # fall into step again within a few words of any insertion.
@@ -131,6 +131,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     Rows of (digest, key) are counted and joined, never grouped, so a passage held by a
     third of all rows only means many rows of one digest, summed before the shuffle.
     """
+    short_batches(docs.sparkSession)
     names = [c for c in docs.columns if c.lower() not in ("removed", "removed_words")]
 
     @F.pandas_udf("array<long>")

@@ -1,6 +1,6 @@
 """Helpers shared by the operators: clashing names, distributed positions, row keys."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,6 +34,16 @@ def unflat(df: DataFrame, names: list[str], results: dict[str, Column]) -> DataF
     return df.select(*kept, *[c.alias(n) for n, c in results.items()])
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long rows: a Python worker gets at most ``rows`` of them at a time.
+
+    A session setting, since Spark has no other place for it; a smaller one is left as it is.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 where it is null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

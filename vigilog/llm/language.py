@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.frame import col, pack, unpack
+from vigilog.llm.frame import col, pack, short_batches, unpack
 
 SIZES = (2, 3)
 HASHES = 3
@@ -139,6 +139,7 @@ def with_language(docs: DataFrame, model: Filter, text: str = "text") -> DataFra
     sorts first. Repeated rows agree; an empty table gives an empty result; a result
     replaces an input column of the same name. A very long text is judged alone.
     """
+    short_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def judged(some: list[str]) -> list[tuple[str, float]]:

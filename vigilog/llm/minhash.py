@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.llm.components import Sets, by_group, connected, in_cells
-from vigilog.llm.frame import flat, unflat
+from vigilog.llm.frame import flat, short_batches, unflat
 from vigilog.storage import materialize
 
 SHINGLE = 5
@@ -17,7 +17,7 @@ BAND = 4
 LIKELY = 0.56
 CELL = 512
 CELL_BYTES = 8 << 20
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -97,6 +97,7 @@ def band_keys(coordinates: np.ndarray, band: int = BAND) -> np.ndarray:
 
 def classes_of(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """The rows with their set's size and digest, sketch and band keys, written once; and the row that stands for each set."""
+    short_batches(docs.sparkSession)
     shape = "_n long, _set long, _sketch binary, _keys array<long>"
 
     @F.pandas_udf(shape)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilog.llm.frame import col, pack, unpack
+from vigilog.llm.frame import col, pack, short_batches, unpack
 from vigilog.storage import materialize
 
 LENGTH = 4096
@@ -17,7 +17,7 @@ ENDED = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
 WORD_OF = re.compile(r"[a-zß-öø-ÿ]+")
 # Python's split() takes more signs for space than the tokenizer does, or means them otherwise.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0]")
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
 BATCH = 256
 
 
@@ -103,6 +103,7 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = 2,
     ids replace; results replace columns of their name. An empty table gives no pieces. A very long text is held once, in one task.
     """
     names = docs.columns
+    short_batches(docs.sparkSession)
 
     def cut(frames):
         ids_of = _ids(tokenizer)

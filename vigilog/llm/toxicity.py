@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.frame import col, pack, unpack
+from vigilog.llm.frame import col, pack, short_batches, unpack
 from vigilog.storage import materialize
 
 EDGE = " \t\r\n\v\f.,;:!?\"'()[]{}<>«»“”„‘’…#%&*+/=|\\^_`~-"
@@ -24,7 +24,8 @@ ADDRESSING = frozenset("you your you're youre u ur du dich dein deine ihr euch t
 NEAR = 6
 WINDOW = 64
 PREFIXES = range(4, 11)
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
+COUNTED_AT_ONCE = 100_000
 
 
 class Lexicon:
@@ -231,6 +232,7 @@ def learn(rows: DataFrame, text: str, label: str, ratio: float = 8.0, share: flo
     rows, exact and near. These counts, the candidates of each toxic row and the evidence of
     each row are all that reaches the driver.
     """
+    short_batches(rows.sparkSession)
     rows = materialize(rows.select(F.coalesce(col(text), F.lit("")).alias("text"), col(label).cast("int").alias("label")), "labelled")
     n = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     sizes = (n.get(0, 0), n.get(1, 0))
@@ -241,13 +243,20 @@ def learn(rows: DataFrame, text: str, label: str, ratio: float = 8.0, share: flo
     def counted(part: DataFrame, asked: frozenset | None) -> DataFrame:
         def count(frames):
             total: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+
+            def counts():
+                return pd.DataFrame({"term": pd.Series(list(total), dtype=object), "n": [v[0] for v in total.values()], "d": [v[1] for v in total.values()]})
+
             for pdf in frames:
                 for t in pdf["text"]:
                     total[""][0] += len(t.split())
                     for term, n in _counted(t, asked).items():
                         total[term][0] += n
                         total[term][1] += 1
-            yield pd.DataFrame({"term": pd.Series(list(total), dtype=object), "n": [v[0] for v in total.values()], "d": [v[1] for v in total.values()]})
+                    if len(total) > COUNTED_AT_ONCE:
+                        yield counts()
+                        total.clear()
+            yield counts()
 
         return part.mapInPandas(count, "term string, n long, d long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
 
@@ -410,6 +419,7 @@ def with_scores(docs: DataFrame, model: dict, text: str = "text", threshold: flo
     replaces an input column of the same name. With no lexicon (no toxic label was seen)
     no text is predicted toxic.
     """
+    short_batches(docs.sparkSession)
     judges: list[Judge] = []
 
     @F.pandas_udf("score double, hits int")
