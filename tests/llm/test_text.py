@@ -341,3 +341,26 @@ def test_passages_of_over_fifty_words_are_found(spark):
     assert all(got[k].removed_words == 0 for k in got if k >= 1000 or k % 10 == 0)
     shares = [got[k].removed_words / len(p.split()) for k, p in planted.items() if k % 10]
     assert min(shares) > 0.4 and np.mean(shares) > 0.85 and max(shares) <= 1
+
+
+def test_text_that_no_single_earlier_row_holds_stays(spark):
+    """Later rows are mosaics of phrases and words that earlier rows hold, but never one after another."""
+    rng = random.Random(33)
+    phrases = [words(rng, 4) for _ in range(24)]
+    common = words(rng, 25).split()
+    rows = [(i, " ".join(rng.choices(phrases, k=50))) for i in range(200)]
+    rows += [(500 + i, " ".join(rng.choices(common, k=150))) for i in range(200)]
+    copied = " ".join(rows[7][1].split()[40:120])
+    rows.append((1000, f"{words(rng, 30)} {copied} {words(rng, 30)}"))
+
+    def pieces(text):
+        w = text.split()
+        return {tuple(w[i : i + chunks.LEAST_WORDS]) for i in range(len(w) - chunks.LEAST_WORDS + 1)}
+
+    held = Counter(p for _, t in rows for p in pieces(t))
+    clean = {k for k, t in rows if all(held[p] == 1 for p in pieces(t))}
+    assert len(clean) >= len(rows) - 2
+    got = {r.doc_id: r for r in chunks.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [k for k in sorted(clean) if got[k].removed_words] == []
+    assert all(got[k].text == t for k, t in rows if k in clean)
+    assert 60 < got[1000].removed_words <= 80

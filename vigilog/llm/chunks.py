@@ -42,8 +42,8 @@ class Powers:
 _powers = Powers()
 
 
-def chunked(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, digests, words) of the chunks of a text given as UTF-8 bytes.
+def cuts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, words) of the chunks of a text given as UTF-8 bytes.
 
     The gear hash of a place sums a random number for each of the last ``WINDOW`` bytes,
     shifted by its distance; it is doubled up from one byte to the window. Chunks start
@@ -51,7 +51,7 @@ def chunked(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     n = len(data)
     if not n:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     gear = GEAR[data]
     width = 1
     while width < WINDOW:
@@ -72,16 +72,43 @@ def chunked(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         cut[1:] |= (np.arange(n)[:-1] - last[:-1] >= LONG) & ((data[1:] & 0xC0) != 0x80) & (draw[:-1] < 65536 // CUT_SIGNS)
     cut[0] = True
     starts = np.flatnonzero(cut)
-    up, down = _powers(n)
-    total = np.add.accumulate(VALUES[data] * up)
-    ends = np.append(starts[1:], n)
-    sums = total[ends - 1]
-    sums[1:] -= total[starts[1:] - 1]
-    h = sums * down[starts] + (ends - starts).astype(np.uint64)
+    return starts, np.add.reduceat(begins, starts, dtype=np.int64)
+
+
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes from each start to its end."""
+    up, down = _powers(len(data))
+    total = np.append(np.uint64(0), np.add.accumulate(VALUES[data] * up))
+    h = (total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
-    words = np.add.reduceat(begins, starts, dtype=np.int64)
-    return starts, h.view(np.int64), words
+    return h.view(np.int64)
+
+
+def chunked(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, digests, words) of the chunks of a text given as UTF-8 bytes."""
+    starts, words = cuts(data)
+    return starts, digests(data, starts, np.append(starts[1:], len(data))) if len(starts) else starts, words
+
+
+def groups(data: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, end, digest) of the shortest groups of neighbouring chunks that hold enough words.
+
+    One group begins with each chunk and one ends with each, where the text has the words for
+    it. So the groups inside any long enough run of chunks cover the whole run.
+    """
+    starts, words = cuts(data)
+    m, least = len(starts), max(1, least_words)
+    before = np.append(0, np.add.accumulate(words))
+    end = np.searchsorted(before, before[:-1] + least)
+    begin = np.searchsorted(before, before[1:] - least, side="right") - 1
+    ahead, back = np.flatnonzero(end <= m), np.flatnonzero(begin >= 0)
+    if not len(ahead):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    pairs = np.unique(np.concatenate([ahead * (m + 1) + end[ahead], begin[back] * (m + 1) + back + 1]))
+    edges = np.append(starts, len(data))
+    first, last = edges[pairs // (m + 1)], edges[pairs % (m + 1)]
+    return first, last, digests(data, first, last)
 
 
 def _bytes(text: str | None) -> np.ndarray:
@@ -89,15 +116,19 @@ def _bytes(text: str | None) -> np.ndarray:
 
 
 def repeated_runs(data: np.ndarray, flagged: np.ndarray, least_words: int) -> list[tuple[int, int, int]]:
-    """(first byte, end, words) of each run of flagged chunks that holds enough words."""
-    starts, digests, words = chunked(data)
-    hit = np.isin(digests, flagged)
-    edges = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0))
-    ends = np.append(starts[1:], len(data))
-    return [
-        (int(starts[a]), int(ends[b - 1]), int(n)) for a, b in zip(edges[::2], edges[1::2])
-        if (n := words[a:b].sum()) >= least_words
-    ]
+    """(first byte, end, words) of each stretch that groups of flagged digests cover."""
+    first, last, found = groups(data, least_words)
+    hit = np.isin(found, flagged)
+    if not hit.any():
+        return []
+    edge = np.zeros(len(data) + 1, np.int64)
+    np.add.at(edge, first[hit], 1)
+    np.add.at(edge, last[hit], -1)
+    edges = np.flatnonzero(np.diff(np.add.accumulate(edge) > 0, prepend=False))
+    starts, words = cuts(data)
+    before = np.append(0, np.add.accumulate(words))
+    at = np.searchsorted(starts, edges)
+    return [(int(a), int(b), int(before[j] - before[i])) for a, b, i, j in zip(edges[::2], edges[1::2], at[::2], at[1::2])]
 
 
 def without_runs(text: str, data: np.ndarray, runs: list[tuple[int, int, int]]) -> tuple[str, list[dict], int]:
@@ -117,11 +148,12 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     """Removes passages that a row of a smaller key also holds; adds ``removed`` and ``removed_words``.
 
     Texts are cut into chunks where their own bytes say so, hence alike in every text that
-    shares a passage. A chunk is a repeat if a row with a smaller key (null is the largest)
-    holds one of the same digest, so the first row keeps the passage. Runs of repeats of at
-    least ``least_words`` words are taken out; shorter ones, such as single common lines,
-    stay, and so does what a text repeats only within itself. The remains of a passage are
-    the few words between its ends and the nearest cuts.
+    shares a passage. What is compared are groups of neighbouring chunks of together at least
+    ``least_words`` words: a group is a repeat if one row with a smaller key (null is the
+    largest) holds the same bytes in one piece, so the first row keeps the passage. Repeats
+    are taken out; shorter ones, such as single common lines, stay, and so do texts made of
+    short pieces from here and there, and what a text repeats only within itself. The remains
+    of a passage are the few words between its ends and the nearest cuts.
 
     Rows of one key count as one document and keep what they share; rows that all have null
     keys keep everything. Null texts stay null, and a text may become empty; rows are never
@@ -136,7 +168,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
 
     @F.pandas_udf("array<long>")
     def digests_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(chunked(_bytes(t))[1]) for t in texts])
+        return pd.Series([np.unique(groups(_bytes(t), least_words)[2]) for t in texts])
 
     held = docs.select(col(key).alias("_id"), F.explode(digests_of(col(text).cast("string"))).alias("_digest"))
     owners = held.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"), F.count(F.when(F.col("_id").isNull(), 1)).alias("_nulls"))
