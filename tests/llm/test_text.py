@@ -80,6 +80,22 @@ def test_labels_are_joined_by_mean_and_bounded(spark):
     assert 350 < many.count() < 650
 
 
+def test_rare_terms_are_learned_beside_a_copied_text(spark):
+    """One toxic text makes up a third of the rows; two slurs are rare among the toxic rows and absent from clean ones."""
+    rng = random.Random(17)
+    prose = words(rng, 300).split()
+    line = lambda n: rng.choices(prose, k=n)
+    copied = " ".join(line(20) + ["wretchoid"] + [f"ordinary{c}" for c in "abcdefgh"])
+    rows = [(copied, 1)] * 1500 + [(" ".join(line(30)), 0) for _ in range(1800)]
+    rows += [(" ".join(line(25) + ["scumbagger"] + line(5)), 1) for _ in range(1150)]
+    rows += [(" ".join(line(25) + [slur] + line(5)), 1) for slur in ("zorgface", "klomphead") for _ in range(25)]
+    learned = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int").repartition(4), "text", "toxic")
+    judge = toxicity.Judge(learned)
+    for slur in ("scumbagger", "zorgface", "klomphead"):
+        assert judge.score(" ".join([*line(20), slur]))[1] == 1
+    assert judge.score(" ".join(f"ordinary{c}" for c in "abcdefgh"))[1] == 0
+
+
 def test_held_out_toxicity(spark):
     from vigilog.llm.queries import QUERIES, table
 

@@ -150,20 +150,37 @@ def _counted(text: str, asked: frozenset | None = None) -> Counter:
     return found
 
 
-def sure_terms(toxic: dict, clean: dict, words: tuple[int, int], rows: tuple[int, int], ratio: float, share: float) -> dict[str, float]:
+def beyond_chance(clean: int, toxic: int, rows: tuple[int, int]) -> float:
+    """How unlikely it is that so many of a candidate's rows are toxic by chance: minus the log of Chernoff's bound."""
+    chance, share = (rows[1] + 1) / (rows[0] + rows[1] + 2), toxic / max(1, clean + toxic)
+    if share <= chance:
+        return 0.0
+    return toxic * math.log(share / chance) + (clean * math.log((1 - share) / (1 - chance)) if clean else 0.0)
+
+
+def least_rows(rows: tuple[int, int], tried: int) -> int:
+    """The number of rows from which on a candidate of toxic rows only is no chance find among ``tried``."""
+    return max(3, math.ceil(math.log(tried + 1) / beyond_chance(0, 1, rows)))
+
+
+def sure_terms(toxic: dict, clean: dict, words: tuple[int, int], rows: tuple[int, int], ratio: float, tried: int) -> dict[str, float]:
     """Candidates at least ``ratio`` times as frequent in toxic rows, in more of them than chance explains.
 
-    ``toxic`` and ``clean`` hold (occurrences, rows) by candidate. Of a chain of ever longer
-    beginnings those stay that the next letter would split. Returns the log of the ratio.
+    ``toxic`` and ``clean`` hold (occurrences, rows) by candidate, ``tried`` is the number of
+    candidates met. No share of the toxic rows is asked for, so rare terms are found in large
+    samples too. Of a chain of ever longer beginnings those stay that the next letter would
+    split. Returns the log of the ratio.
     """
-    chance = (rows[1] + 1) / (rows[0] + rows[1] + 2)
-    least = max(3, share * rows[1], math.log(len(toxic) + 1) / -math.log(chance))
+    bar = math.log(tried + 1)
     longer: dict[str, int] = defaultdict(int)
     for t, (_, n) in toxic.items():
         if not t.endswith(" "):
             longer[t[:-1]] = max(longer[t[:-1]], n)
     logs = {t: log_ratio(clean.get(t, (0, 0))[0], n, words) for t, (n, _) in toxic.items()}
-    return {t: logs[t] for t, (_, n) in toxic.items() if n >= least and logs[t] >= math.log(ratio) and (t.endswith(" ") or longer[t] < 0.9 * n)}
+    return {
+        t: logs[t] for t, (_, n) in toxic.items()
+        if n >= 3 and beyond_chance(clean.get(t, (0, 0))[1], n, rows) >= bar and logs[t] >= math.log(ratio) and (t.endswith(" ") or longer[t] < 0.9 * n)
+    }
 
 
 def log_ratio(clean: float, toxic: float, words: tuple[int, int]) -> float:
@@ -174,7 +191,8 @@ def select_terms(sure: dict[str, float], rows: list[list[str]], toxic: dict, lea
     """The lexicon, and whether each term is open.
 
     Terms are taken by the toxic rows that they alone explain so far, times how telling they
-    are; words that only ride along in copies of such rows explain nothing more and are left.
+    are; words that only ride along in such rows explain nothing more. The rows are distinct
+    texts, so the words of a text with many copies have no more rows than those of any other.
     A term in at least 0.4 as many rows as the taken term it shares most rows with is a term
     of its own right. Beginnings stand for their longer forms. A term whose rows mostly hold
     it as a whole word is closed.
@@ -184,14 +202,11 @@ def select_terms(sure: dict[str, float], rows: list[list[str]], toxic: dict, lea
         for t in terms:
             held[t].add(i)
     left, taken = {t: set(h) for t, h in held.items()}, []
-    while left:
+    while left := {t: h for t, h in left.items() if len(h) >= least}:
         best = max(left, key=lambda t: (len(left[t]) * sure[t], -len(t), t))
-        if len(left[best]) < least:
-            del left[best]
-            continue
         taken.append(best)
         covered = left.pop(best)
-        left = {t: rest for t, h in left.items() if (rest := h - covered)}
+        left = {t: h - covered for t, h in left.items()}
     chosen = list(taken)
     for t in sorted(held, key=lambda t: (-len(held[t]), t)):
         near = max(taken, key=lambda x: len(held[x] & held[t]), default=None)
@@ -224,21 +239,22 @@ def fitted(values: list[float], labels: list[int]) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def learn(rows: DataFrame, text: str, label: str, ratio: float = 8.0, share: float = 0.01) -> dict:
+def learn(rows: DataFrame, text: str, label: str, ratio: float = 8.0) -> dict:
     """Learns from labelled rows: the lexicon, a weight for each form of its terms, the curve from evidence to score.
 
-    ``rows`` is a bounded sample (see ``labelled``). Candidates are counted in toxic rows,
+    ``rows`` is a bounded sample (see ``labelled``), of which each distinct text counts once;
+    of several labels of a text the mean decides. Candidates are counted in toxic rows,
     then those with enough support in clean rows, then the forms of the chosen terms in all
     rows, exact and near. These counts, the candidates of each toxic row and the evidence of
     each row are all that reaches the driver.
     """
     short_batches(rows.sparkSession)
-    rows = materialize(rows.select(F.coalesce(col(text), F.lit("")).alias("text"), col(label).cast("int").alias("label")), "labelled")
+    texts = rows.select(F.coalesce(col(text), F.lit("")).alias("text"), col(label).cast("int").alias("label"))
+    rows = materialize(texts.groupBy("text").agg((F.avg("label") >= 0.5).cast("int").alias("label")).where("label is not null"), "labelled")
     n = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     sizes = (n.get(0, 0), n.get(1, 0))
     if not all(sizes):
         return {"terms": {}, "weights": {}, "curve": (1.0, -5.0), "rows": sum(sizes)}
-    least = max(3, int(share * sizes[1]))
 
     def counted(part: DataFrame, asked: frozenset | None) -> DataFrame:
         def count(frames):
@@ -260,10 +276,13 @@ def learn(rows: DataFrame, text: str, label: str, ratio: float = 8.0, share: flo
 
         return part.mapInPandas(count, "term string, n long, d long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
 
-    toxic = {r.term: (r.n, r.d) for r in counted(rows.where("label = 1"), None).where((F.col("d") >= least) | (F.col("term") == "")).collect()}
+    candidates = materialize(counted(rows.where("label = 1"), None).where("d >= 3 or term = ''"), "candidates")
+    tried = candidates.where("term <> ''").count()
+    least = least_rows(sizes, tried)
+    toxic = {r.term: (r.n, r.d) for r in candidates.where((F.col("d") >= least) | (F.col("term") == "")).collect()}
     clean = {r.term: (r.n, r.d) for r in counted(rows.where("label = 0"), frozenset(toxic)).collect()}
     words = (clean.pop("", (0, 0))[0], toxic.pop("", (0, 0))[0])
-    sure = sure_terms(toxic, clean, words, sizes, ratio, share)
+    sure = sure_terms(toxic, clean, words, sizes, ratio, tried)
     chosen = frozenset(sure)
 
     def holding(frames):
