@@ -61,6 +61,17 @@ def test_context_and_spelling_decide():
     assert score("moron " + "fine " * 20_000) == score("moron")
 
 
+@pytest.mark.parametrize("stray", ['a 5" pipe', 'he said "hello there.', "„ and so on", 'the end" of it', '"'])
+def test_a_stray_quote_sign_excuses_nothing(stray):
+    score = lambda t: toxicity.Judge(model()).score(t)[0]
+    assert score(f"{stray} {'fine ' * 100} you are a moron") > 0.7
+    assert score(f"{stray} you are a moron") > 0.7
+    assert score(f"you are a moron {stray}") > 0.7
+    assert score(f'{stray} {"fine " * 100} they wrote "what a moron, really" on it') < 0.7
+    assert score(f'{stray} the word "moron" was once a clinical term') < 0.7
+    assert score("il dit « moron » sans raison") < 0.7 and score("er sagte „du moron“ dazu") < 0.7 and score('so: „worthless" hm') < 0.7
+
+
 def test_scores_of_odd_rows(odd, odd_rows, empty):
     done = toxicity.with_scores(odd, model())
     untouched(done, {"score", "predicted"})

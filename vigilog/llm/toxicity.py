@@ -14,7 +14,8 @@ from vigilog.storage import materialize
 
 EDGE = " \t\r\n\v\f.,;:!?\"'()[]{}<>«»“”„‘’…#%&*+/=|\\^_`~-"
 TRIPLED = re.compile(r"(\w)\1{2,}")
-QUOTES = "\"“”„«»‹›"
+QUOTES = re.compile("[\"“”„«»‹›]")
+LETTER = re.compile(r"\w")
 # Words that report another's words, and words that address the reader.
 REPORTING = frozenset(
     "said says say called calls wrote quote quoted word words term insult insults phrase slur sagte nannte schrieb wort "
@@ -382,6 +383,29 @@ class Judge:
             return 0.45
         return 1.0 if around & ADDRESSING else 0.7 if around & REPORTING else 1.0
 
+    @staticmethod
+    def quoted(words: list[str]) -> set[int]:
+        """The places of words between an opening and a closing sign less than ``WINDOW`` words apart.
+
+        A sign before the letters of its word opens, one behind them closes, any other does
+        what is due. The nearest opening sign counts, and signs without a partner do nothing.
+        """
+        places: set[int] = set()
+        opened = None
+        for at, raw in enumerate(words):
+            if not QUOTES.search(raw):
+                continue
+            letters = [m.start() for m in LETTER.finditer(raw)]
+            for m in QUOTES.finditer(raw):
+                before, after = bool(letters) and letters[0] < m.start(), bool(letters) and letters[-1] > m.start()
+                due = opened is not None and at - opened < WINDOW
+                if due and (before or not after):
+                    places.update(range(opened, at + 1))
+                    opened = None
+                elif after or not before:
+                    opened = at
+        return places
+
     def evidence(self, text: str) -> tuple[float, int]:
         """The weights of the hits in the heaviest window of ``WINDOW`` words, and the number of hits."""
         words = text.lower().split()
@@ -391,13 +415,8 @@ class Judge:
         near = {w for w in set(words).difference(self.clean) if self._weight(w)}
         if not near:
             return 0.0, 0
-        places, inside = [], False
-        for at, raw in enumerate(words):
-            marks = sum(map(raw.count, QUOTES))
-            if raw in near:
-                places.append((at, self.hits[raw] * self.context(words, at, inside or marks > 0)))
-            if marks % 2:
-                inside = not inside
+        quoted = self.quoted(words)
+        places = [(at, self.hits[raw] * self.context(words, at, at in quoted)) for at, raw in enumerate(words) if raw in near]
         best = running = 0.0
         first = 0
         for at, weight in places:
