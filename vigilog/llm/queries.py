@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilog.llm import chat, chunks, language, minhash, mixing, packing, polytope, sharding, topk, toxicity
+from vigilog.llm import bestfit, chat, chunks, language, lexical, minhash, mixing, packing, polytope, sharding, topk, toxicity, variants
 from vigilog.llm.frame import word_count
 from vigilog.llm.vectors import usable
 
@@ -121,8 +121,8 @@ def op4_inner_products(spark, sf_dir):
 
 
 ORACLES["op4_inner_products"] = """
-with v as (select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as vector from embeddings
- where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as vector from embeddings
+ where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 e as (select vec_id, unnest(vector) as x, unnest(range(len(vector))) as i, len(vector) as n from v),
 s as (select q.vec_id as query_id, c.vec_id, cast(sum(q.x * c.x) as bigint) as score from e q join e c on c.i = q.i and c.n = q.n and c.vec_id <> q.vec_id
  where q.vec_id % 50 = 0 group by 1, 2)
@@ -171,3 +171,65 @@ def op10_near_duplicates(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = minhash.near_duplicates(docs)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op11_lexical_search(spark, sf_dir):
+    return lexical.ranked(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_lexical_search"] = r"""
+with d as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+n as (select doc_id, cast(len(terms) as bigint) as n from d where len(terms) > 0),
+s as (select count(*) as docs, cast(sum(n) as bigint) as length from n),
+q as (select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+p as (select doc_id, term, count(*) as tf from (select doc_id, unnest(terms) as term from d) where term in (select term from q) group by doc_id, term),
+w as (select term, cast(floor(1000 * ln(cast(2 * docs + 2 as double) / (2 * count(*) + 1))) as bigint) as w from p, s group by term, docs),
+r as (select item_id, p.doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + ((90 * n * docs) // length))))) as bigint) as score
+ from q join p using (term) join w using (term) join n using (doc_id), s group by item_id, p.doc_id)
+select item_id, cast(rank as integer) as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from r where score > 0) where rank <= 10
+"""
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return variants.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# The checksum is worked out byte by byte over its table of 256 values.
+ORACLES["op12_spelling_variants"] = r"""
+with recursive table_ as (select list(c order by b) as t from (select b, list_reduce(range(8), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b) as c from range(256) r(b))),
+r as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) as run from documents),
+l as (select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n from r where length(run) >= 6 group by all),
+b as (select *, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || run)) as x from l),
+c as (select run, n, xor(list_reduce(list_transform(range(length(x) // 2), lambda i: cast('0x' || substr(x, 2 * i + 1, 2) as bigint)),
+  lambda c, y: xor(c >> 8, t[1 + (xor(c, y) & 255)]), 4294967295), 4294967295) as h from b, table_),
+w as (select word, cast(sum(n) as bigint) as n from
+ (select case when h % 199 = 0 then substr(run, 1, cast(h % length(run) as integer)) || substr(run, cast(h % length(run) as integer) + 2) else run end as word, n from c)
+ where length(word) >= 6 group by word having sum(n) >= 5),
+k as (select word, n, unnest(range(1, length(word) + 1)) as i from w),
+s as (select word, n, i, substr(word, 1, i - 1) as a, substr(word, i + 1) as b from k),
+p as (select x.word, y.word as near, y.n as near_n from s x join s y on x.i = y.i and x.a = y.a and x.b = y.b and x.word <> y.word
+ union select s.word, w.word, w.n from s join w on w.word = s.a || s.b
+ union select w.word, s.word, s.n from s join w on w.word = s.a || s.b),
+f as (select word, count(*) as n_near, arg_min(near, (-near_n, near)) as form, max(near_n) as form_n from p group by word),
+g as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when form_n >= 5 * n then form end as form, case when form_n >= 5 * n then form_n end as form_n from w left join f using (word)),
+t as (select word, word as at, form from g union all select t.word, t.form, g.form from t join g on g.word = t.form where t.form is not null)
+select g.word, g.form, t.at as root, g.n, cast(g.n_near as bigint) as n_near, g.form_n from g join t using (word) where t.form is null
+"""
+
+
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op13_best_fit(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = bestfit.pieces(docs, byte_tokenizer()).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return bestfit.place(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
