@@ -10,6 +10,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 _owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+_waiting: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -73,3 +74,24 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         _owned.reset(token)
         for path in mine or []:
             remove(spark, path)
+
+
+@contextlib.contextmanager
+def until_release() -> Iterator[None]:
+    """Leaves every folder made inside for a later ``release``: for a step that returns a DataFrame over them."""
+    token = _owned.set([])
+    try:
+        yield
+    finally:
+        _waiting.extend(_owned.get() or [])
+        _owned.reset(token)
+
+
+def release(spark: SparkSession, read: DataFrame) -> None:
+    """Removes the folders that ``until_release`` left, but for those that ``read`` still reads."""
+    files = read.inputFiles()
+    used = [path for path in _waiting if any(path in f for f in files)]
+    for path in _waiting:
+        if path not in used:
+            remove(spark, path)
+    _waiting[:] = used
