@@ -5,15 +5,33 @@ duplicate documents go, repeated passages leave the texts, rows are repeated or
 the mixture, and the last stage returns token pieces with their places.
 """
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilog import storage
 from vigilog.llm import chunks, minhash, mixing, packing, toxicity
 from vigilog.llm.frame import word_count
 from vigilog.llm.queries import remainder, table, word_tokenizer
-from vigilog.storage import materialize
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def tidy(stage: Stage) -> Stage:
+    """A stage that first removes the intermediate folders of the stage before, whose result has been written by then."""
+
+    @wraps(stage)
+    def tidied(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        storage.release(spark, docs)
+        with storage.until_release():
+            return stage(spark, docs, sf_dir)
+
+    return tidied
 
 
+@tidy
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator predicts toxic go; it learns from the same rows of ``labels`` as op1."""
     labels = table(spark, sf_dir, "labels").where(remainder(3) != 1)
@@ -21,22 +39,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.with_scores(docs, model).where("predicted = 0").select(docs.columns)
 
 
+@tidy
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates stays, the one with the smallest id."""
     return minhash.deduplicated(docs)
 
 
+@tidy
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds leave the text; the document stays."""
     cleaned = chunks.without_repeats(docs)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
+@tidy
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
     return mixing.repeated(mixing.mix(docs, word_count(F.col("text"))), docs.columns)
 
 
+@tidy
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their ids, sequence and offset."""
     return packing.packed_documents(docs.select("doc_id", "source", "text"), word_tokenizer())
@@ -56,8 +78,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again before the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again before the next; a stage's output goes once the next one's is written."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = storage.scratch_path(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            storage.remove(spark, last)
+        docs, last = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
