@@ -26,14 +26,15 @@ class Ids:
 
     The tokenizer drops white space and lower-cases, so a text is split at its spaces and
     each distinct piece encoded by the tokenizer itself. A text that holds anything beyond
-    Latin-1, where lower case or composition could depend on neighbours, goes to it whole.
+    Latin-1, where lower case or composition could depend on neighbours, or an added token
+    of the file, goes to it whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -68,10 +69,11 @@ class Ids:
             except UnicodeEncodeError:
                 found[i] = self._encode([text])[0]
                 continue
-            if ODD_SPACE.search(text):
+            low = text.lower()
+            if ODD_SPACE.search(text) or any(t in low for t in self.added):
                 found[i] = self._encode([text])[0]
                 continue
-            parts = text.lower().split()
+            parts = low.split()
             ids = list(map(known.get, parts))
             missing = [j for j, x in enumerate(ids) if x is None] if None in ids else []
             split.append((i, parts, ids, missing))
