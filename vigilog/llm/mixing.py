@@ -3,10 +3,13 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilog.llm.frame import col, pack, salts, unpack, with_positions
+from vigilog.llm.frame import col, flat, salts, unflat, with_positions
+from vigilog.storage import materialize
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3.0
+# Offsets drawn for each source, of which the one whose sum comes nearest the target is used.
+DRAWS = 16
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, most: float = MOST_COPIES) -> DataFrame:
@@ -41,33 +44,43 @@ def mix(docs: DataFrame, size: Column, source: str = "source", weights=WEIGHTS,
     Systematic sampling: rows of a source stand in order of falling size class; each
     expects target / source_size copies, these are prefix-summed, one offset drawn for
     the source is added, and a copy is made for each integer crossed. The order keeps
-    a source's sum within about one largest row of its target, and no row is taken
-    more than ``most`` times. The draw is a hash, so reruns agree.
+    a source's sum within about one largest row of its target; of ``DRAWS`` hashed offsets the
+    one that comes nearest is used, which helps sources of few rows. No row is taken
+    more than ``most`` times. Draws are hashes, so reruns agree.
 
     A null or negative size counts as 0; a source of size 0 takes nothing; the null
     source is a source of its own; equal rows are separate rows and differ at most in
     which of them gets a copy. An empty table gives an empty result. A result replaces
     an input column of the same name.
 
-    A hot source is split in cells of one size class and one hash part.
+    Rows are written once with their sizes; all counting is done on a few narrow columns,
+    and a hot source is split in cells of one size class and one hash part.
     """
     names = docs.columns
-    base = docs.select(
-        pack(docs), F.coalesce(col(source).cast("string"), F.lit("")).alias("_source"), col(source).isNull().alias("_null"),
+    whole = [col(c) for c in names]
+    rows = docs.select(
+        *flat(docs), F.coalesce(col(source).cast("string"), F.lit("")).alias("_source"), col(source).isNull().alias("_null"),
         F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("long").alias("_size"),
+        F.xxhash64(*whole).alias("_hash"), F.xxhash64(*whole, F.lit(seed)).alias("_draw"),
     )
-    sources = targets(base.groupBy("_source", "_null").agg(F.sum("_size").alias("source_size")), weights, most)
-    parts = salts(docs.count())
+    base = materialize(rows.withColumn("_number", F.monotonically_increasing_id()), "rows")
+    sized = base.select("_number", "_source", "_null", "_size", "_hash", "_draw")
+    sources = materialize(targets(sized.groupBy("_source", "_null").agg(F.sum("_size").alias("source_size")), weights, most), "sources")
+    parts = salts(base.count())
     large_first = 1024 - F.floor(F.log2(F.col("_size") + 1.0) * 8)
-    part = F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(parts))
-    cells = base.withColumn("_cell", (large_first * parts + part).cast("long"))
-    # Cells are small, so the figures of the source come with them and not by a join on a hot source.
+    cell = (large_first * parts + F.pmod("_draw", F.lit(parts))).cast("long")
+    cells = sized.withColumn("_cell", F.coalesce(cell, F.lit(0)))
     rate = F.when(F.col("source_size") > 0, F.least(F.lit(most), F.col("target") / F.col("source_size"))).otherwise(0.0)
-    offset = F.pmod(F.xxhash64("_source", "_null", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    placed = with_positions(cells, ["_source", "_null"], "_cell", [F.desc("_size"), F.xxhash64("_row"), F.xxhash64("_row", F.lit(seed))])
-    crossed = F.floor((F.col("_index") + 1) * rate + offset) - F.floor(F.col("_index") * rate + offset)
-    results = {"size": F.col("_size"), "source_size": F.col("source_size"), "target": F.col("target"), "copies": crossed.cast("int")}
-    return unpack(placed.join(sources, ["_source", "_null"]), names, results)
+    placed = with_positions(cells, ["_source", "_null"], "_cell", [F.desc("_size"), F.col("_hash"), F.col("_draw")])
+    placed = materialize(placed.join(sources.withColumn("_rate", rate), ["_source", "_null"]).select("_number", "_source", "_null", "_size", "_index", "_rate"), "placed")
+    copies = lambda offset: F.floor((F.col("_index") + 1) * F.col("_rate") + offset) - F.floor(F.col("_index") * F.col("_rate") + offset)
+    drawn = [F.pmod(F.xxhash64("_source", "_null", F.lit(seed + i)), F.lit(1 << 30)) / F.lit(float(1 << 30)) for i in range(DRAWS)]
+    sums = placed.groupBy("_source", "_null").agg(*[F.sum(F.col("_size") * copies(offset)).alias(f"_sum_{i}") for i, offset in enumerate(drawn)])
+    nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"_sum_{i}") - F.col("target")), F.lit(i), offset.alias("offset")) for i, offset in enumerate(drawn)]))
+    chosen = materialize(sources.join(sums, ["_source", "_null"]).select("_source", "_null", "source_size", "target", nearest.getField("offset").alias("_offset")), "offsets")
+    taken = placed.join(chosen, ["_source", "_null"]).select("_number", "source_size", "target", copies(F.col("_offset")).cast("int").alias("_copies"))
+    joined = base.join(taken, "_number")
+    return unflat(joined, names, {"size": F.col("_size"), "source_size": F.col("source_size"), "target": F.col("target"), "copies": F.col("_copies")})
 
 
 def repeated(mixed: DataFrame, names: list[str]) -> DataFrame:
