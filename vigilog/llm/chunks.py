@@ -14,6 +14,8 @@ WINDOW = 8
 # Where no white space came for LONG bytes, any character may be cut, one in CUT_SIGNS.
 LONG, CUT_SIGNS = 64, 32
 LEAST_WORDS = 24
+# Rows of one key that may share a list of repeats.
+ROWS_PER_SALT = 16_384
 
 _seeded = np.random.Generator(np.random.PCG64(20_240_901))
 GEAR = _seeded.integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -161,7 +163,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     input columns of these names.
 
     Rows of (digest, key) are counted and joined, never grouped, so a passage held by a
-    third of all rows only means many rows of one digest, summed before the shuffle.
+    third of all rows only means many rows of one digest, summed before the shuffle. What
+    repeats is listed by key and a salt of the text, so that a null or repeated key, even
+    of a third of all rows, makes many short lists.
     """
     short_batches(docs.sparkSession)
     names = [c for c in docs.columns if c.lower() not in ("removed", "removed_words")]
@@ -170,14 +174,15 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     def digests_of(texts: pd.Series) -> pd.Series:
         return pd.Series([np.unique(groups(_bytes(t), least_words)[2]) for t in texts])
 
-    held = docs.select(col(key).alias("_id"), F.explode(digests_of(col(text).cast("string"))).alias("_digest"))
+    salt = F.pmod(F.xxhash64(col(text).cast("string")), F.lit(1 + docs.count() // ROWS_PER_SALT)).cast("int").alias("_salt")
+    held = docs.select(col(key).alias("_id"), salt, F.explode(digests_of(col(text).cast("string"))).alias("_digest"))
     owners = held.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"), F.count(F.when(F.col("_id").isNull(), 1)).alias("_nulls"))
     shared = owners.where((F.col("_first") < F.col("_last")) | ((F.col("_nulls") > 0) & F.col("_first").isNotNull())).select("_digest", "_first")
     later = held.join(shared, "_digest").where(F.col("_id").isNull() | (F.col("_id") > F.col("_first")))
-    # A list is at most as long as the row's own text.
-    lists = later.groupBy("_id").agg(F.collect_set("_digest").alias("_repeats"))
-    rows = docs.select(pack(docs), col(key).alias("_id"), col(text).cast("string").alias("_text"))
-    joined = rows.join(lists, rows["_id"].eqNullSafe(lists["_id"]), "left").select("_row", "_text", "_repeats")
+    # Equal texts share a salt and their digests; others of one key only by chance.
+    lists = later.groupBy("_id", "_salt").agg(F.collect_set("_digest").alias("_repeats"))
+    rows = docs.select(pack(docs), col(key).alias("_id"), salt, col(text).cast("string").alias("_text"))
+    joined = rows.join(lists, rows["_id"].eqNullSafe(lists["_id"]) & (rows["_salt"] == lists["_salt"]), "left").select("_row", "_text", "_repeats")
 
     @F.pandas_udf("text string, removed array<struct<start:long,length:long>>, words int")
     def clean(texts: pd.Series, repeats: pd.Series) -> pd.DataFrame:
