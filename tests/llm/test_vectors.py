@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.test_text import slow_components
@@ -99,21 +100,62 @@ def brute_top(rows, k):
             asked.setdefault(key, v)
     out = set()
     for key, q in asked.items():
-        scored = sorted((-sum(int(a) * int(b) for a, b in zip(q, v)), other) for other, v in usable_rows if other != key and len(v) == len(q))
+        held = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
+        scored = sorted((-held(sum(int(a) * int(b) for a, b in zip(q, v))), other) for other, v in usable_rows if other != key and len(v) == len(q))
         out |= {(key, r + 1, other, -s) for r, (s, other) in enumerate(scored[:k])}
     return out
 
 
-def test_top_inner_products(spark, monkeypatch):
+def few_at_a_time(monkeypatch):
+    for name, size in (("SLICE", 64), ("QUERY_BLOCK", 4), ("STEP", 16), ("QUERIES", 6), ("LONGEST", 20)):
+        monkeypatch.setattr(topk, name, size)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_top_inner_products(spark, monkeypatch, small):
+    if small:
+        few_at_a_time(monkeypatch)
     rows = whole_rows()
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     want = brute_top(rows, 5)
-    for size in (topk.SLICE, 64):
-        monkeypatch.setattr(topk, "SLICE", size)
-        monkeypatch.setattr(topk, "QUERY_BLOCK", 1024 if size > 64 else 4)
-        monkeypatch.setattr(topk, "STEP", 1024 if size > 64 else 16)
-        got = topk.top_inner_products(df, df.where("vec_id % 50 = 0"), vector="v").collect()
-        assert {tuple(r) for r in got} == want and len(got) == len(want)
+    got = topk.top_inner_products(df, df.where("vec_id % 50 = 0"), vector="v").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_scores_of_any_size(spark, monkeypatch, small):
+    """Exact where 64 bits hold them, else the limits of a long; none is lost."""
+    if small:
+        few_at_a_time(monkeypatch)
+    rng = random.Random(15)
+    sizes = [1.0, 3.0e6, 1.2e7 * 256, 2.0**31 + 1, 2.0**52 + 2, 2e20, 1e30, 1e160, 1e308]
+    rows = [(i, [rng.choice([0.0, 0.0, 1.0, -1.0]) * math.floor(min(rng.choice(sizes) * rng.choice([1, 1, 7]), 1.7e308)) for _ in range(6)]) for i in range(400)]
+    rows += [(1000, [1e30, 1.0]), (1001, [0.0, 5.0]), (1002, [2e20, 3e18]), (1050, [0.0, 1e30]), (1003, [1.0, -2.0]), (1004, [-1e30, 0.0])]
+    rows = [(k, v, "own", "own", "own") for k, v in rows]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = topk.top_inner_products(df, df.where("vec_id % 50 = 0"), vector="v").collect()
+    want = brute_top(rows, 5)
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert {s for *_, s in want} & {(1 << 63) - 1} and (1000, 4, 1001, 5) in want
+
+
+def test_rows_that_cannot_be_reached_are_not_sent(spark, monkeypatch):
+    """A few long rows decide; the many short ones of later slices are neither copied nor asked."""
+    monkeypatch.setattr(topk, "SLICE", 100)
+    monkeypatch.setattr(topk, "QUERIES", 40)
+    rng = np.random.default_rng(16)
+    x = rng.integers(-3, 4, (3000, 8)).astype(float)
+    x[:90] += rng.choice([-400, 400], (90, 8))
+    order = rng.permutation(3000)
+    df = spark.createDataFrame([(int(i), x[j].tolist(), "", "", "") for i, j in enumerate(order)], SCHEMA)
+    asked = df.where("vec_id % 50 = 0")
+    sent = []
+    monkeypatch.setattr(topk, "_meet", lambda meetings, turn, k, meet=topk._meet: sent.append(meetings) or meet(meetings, turn, k))
+    got = topk.top_inner_products(df, asked, vector="v").collect()
+    assert {tuple(r) for r in got} == brute_top([tuple(r) for r in df.collect()], 5)
+    count = {asks: n for asks, n in sent[0].groupBy("_asks").count().collect()}
+    # 60 queries in 2 groups, 30 slices: all pairs would be 6,000 rows and 1,800 queries.
+    assert count[True] <= 60 * 3 and count[False] <= 2 * 300
 
 
 def test_usable(spark):

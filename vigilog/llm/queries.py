@@ -114,8 +114,10 @@ def word_tokenizer() -> str:
 
 @query
 def op4_inner_products(spark, sf_dir):
-    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
-    # floor() of a non-finite double would come out as a number, so such vectors go first.
+    # From 2^52 on a double is whole, and beyond the longs floor() would not keep it.
+    whole = lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
+    scaled = F.transform("embedding", lambda x: whole(x.cast("double") * 256))
+    # Such vectors go before the scaling; components from 7e305 on, whose 256-fold no double holds, after it.
     vectors = table(spark, sf_dir, "embeddings").where(usable(F.col("embedding"))).select("vec_id", scaled.alias("vector"))
     return topk.top_inner_products(vectors, vectors.where("vec_id % 50 = 0"))
 
