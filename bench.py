@@ -62,7 +62,7 @@ def main() -> None:
         here = f"{folder}/{next(streams)}"
         rows = spark.read.parquet(f"{folder}/in")
         arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-        baseline.run_by_blocks(arriving, "host_id", f"{here}/out", f"{here}/state", f"{here}/progress").awaitTermination()
+        baseline.run_stateful(arriving, "host_id", f"{here}/out", f"{here}/progress").awaitTermination()
 
     jobs = {
         "parse_lines": lambda: sink(parse_lines(lines)),

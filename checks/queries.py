@@ -1,6 +1,6 @@
 """The registered queries. Names follow the operator ids of the survey."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.catalog import query
@@ -801,8 +801,7 @@ def a9_facts(spark, sf):
 def a13_facts(spark, sf):
     table, model = trained(spark, sf)
     scores = materialize(forest.with_score(table, model).select("score"), "scores")
-    # Spark's exact percentile interpolates linearly, as the offset has to.
-    below = scores.agg(F.expr("percentile(score, 0.05)").alias("p")).join(scores).where("score < p").count()
+    below = scores.where(F.col("score") < exact_quantile(scores, "score", 0.05)).count()
     report = a13(spark, sf)
     return report.selectExpr("total", f"anomalies = {below} and anomalies + normals = total as below_quantile", "contamination")
 
@@ -908,8 +907,7 @@ def m9_stream(spark, sf):
     out = scratch_path(spark, "verdicts")
     arriving = P.parse_lines(lines_of(event_stream(spark, sf)))
     scoring.run_scored_stream(
-        arriving, model, "host_id", out, scratch_path(spark, "tails"), scratch_path(spark, "progress"),
-        block_rows=BLOCK,
+        arriving, model, "host_id", out, scratch_path(spark, "progress"),
     ).awaitTermination()
     found = spark.read.option("recursiveFileLookup", True).parquet(out)
     return found.select("host_id", "line_no", "score", "iso_anomaly", "smart_alert", "is_anomaly", "label")
@@ -1051,9 +1049,14 @@ def t5(spark, sf):
     where trim(value) <> '' and not contains(value, '===') and not contains(value, 'Log generator')""",
 )
 def s4_text(spark, sf):
+    # The log in files by range; a line's number is that in its file and the lines of the files before it.
     folder, inbox, out = (scratch_path(spark, x) for x in ("text", "numbered", "sent"))
-    log_lines(spark, sf).repartitionByRange(1, "line_no").sortWithinPartitions("line_no").select("value").write.text(folder)
-    sent = envelopes(replay.replay_log(spark, folder, inbox))
+    log_lines(spark, sf).repartitionByRange("line_no").sortWithinPartitions("line_no").select("value").write.text(folder)
+    numbered = replay.replay_log(spark, folder, inbox)
+    sizes = spark.read.parquet(inbox).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = numbered.join(F.broadcast(sizes.select("file", before.alias("_before"))), "file")
+    sent = envelopes(placed.select((F.col("line_no") + F.col("_before")).alias("line_no"), "value"))
     (
         sent.writeStream.format("parquet").option("path", out)
         .option("checkpointLocation", scratch_path(spark, "sent-progress")).trigger(availableNow=True).start().awaitTermination()
@@ -1107,11 +1110,11 @@ def _t2(spark, sf, start) -> DataFrame:
 
 @query("t2_stream_baseline", _T2_SQL)
 def t2(spark, sf):
-    state, progress = scratch_path(spark, "tails"), scratch_path(spark, "progress")
+    progress = scratch_path(spark, "progress")
     return _t2(
         spark, sf,
-        lambda arriving, out: baseline_stream.run_by_blocks(
-            arriving, "host_id", out, state, progress, carry=["is_anomaly"], block_rows=BLOCK
+        lambda arriving, out: baseline_stream.run_stateful(
+            arriving, "host_id", out, progress, carry=["is_anomaly"]
         ),
     )
 
@@ -1127,6 +1130,19 @@ def t2_keyed(spark, sf):
     )
 
 
+@query("t3_resent", f"{ENTRIES_SQL} select line_no as kafka_offset, is_anomaly from e")
+def t3_resent(spark, sf):
+    # Every message twice, some of them only after a restart: each entry once.
+    inbox, out, progress = (scratch_path(spark, x) for x in ("inbox", "found", "progress"))
+    lines = log_lines(spark, sf).select("line_no", "value")
+    half = lines.agg(F.max("line_no")).first()[0] // 2
+    for part in (lines.where(F.col("line_no") <= half), lines.where(F.col("line_no") > half // 2), lines):
+        kafka.to_messages(envelopes(part)).write.mode("append").text(inbox)
+        sent = alert_stream.sent_once(kafka.open_envelopes(spark.readStream.text(inbox)), "3650 days")
+        alert_stream.run_alerts(sent, out, progress).awaitTermination()
+    return spark.read.parquet(out).select("kafka_offset", "is_anomaly")
+
+
 @query("t6_stream_totals", f"{ENTRIES_SQL} select is_anomaly, count(*) as entries from e group by all")
 def t6(spark, sf):
     out = scratch_path(spark, "totals")

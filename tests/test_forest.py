@@ -141,9 +141,9 @@ def test_scoring_jobs(spark, table, model):
     from checks.queries import event_stream, lines_of
     from vigilog.functions.parse import parse_lines
 
-    paths = [scratch_path(spark, x) for x in ("out", "state", "progress")]
+    paths = [scratch_path(spark, x) for x in ("out", "progress")]
     scoring.run_scored_stream(
-        parse_lines(lines_of(event_stream(spark, SF))), model, "host_id", *paths, block_rows=64
+        parse_lines(lines_of(event_stream(spark, SF))), model, "host_id", *paths
     ).awaitTermination()
     columns = ["line_no", "score", "iso_anomaly", "smart_alert", "smart_reason", "is_anomaly", "label"]
     live = spark.read.option("recursiveFileLookup", True).parquet(paths[0]).select(*columns)

@@ -113,7 +113,7 @@ def test_one_scan_and_one_shuffle_of_the_rows(spark):
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("FileScan parquet") == 1
     assert plan.count("ReusedExchange") == 1
-    # SinglePartition: the block summaries and the final one-row aggregate.
+    # SinglePartition: one row for each thousand blocks, and the final one-row aggregate.
     assert plan.count("SinglePartition") == 2
 
 
@@ -162,3 +162,14 @@ def test_many_large_streams_join_without_broadcast(spark, table, monkeypatch):
         assert found.orderBy("line_no").collect() == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("key", ["host_id", None])
+def test_tails_are_handed_on_from_span_to_span(spark, table, monkeypatch, key):
+    """Spans of few thin blocks give what one span gives; readings come from several spans back."""
+    rows = lambda: rolling.with_baseline(table, key, block_rows=3, carry=None if key else ["host_id"]).orderBy("line_no").collect()
+    want = rolling.with_baseline(table, key, carry=None if key else ["host_id"]).orderBy("line_no").collect()
+    assert rows() == want
+    for fan in (1, 2, 5):
+        monkeypatch.setattr(rolling, "FAN", fan)
+        assert rows() == want

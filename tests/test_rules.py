@@ -3,6 +3,7 @@
 import csv
 import math
 import os
+import time
 
 import numpy as np
 import pytest
@@ -123,34 +124,29 @@ def test_no_folder_is_left(spark, table, tmp_path):
     rows = spark.range(200).select(F.lit("h").alias("host"), F.col("id").alias("line_no"), F.lit(1.0).alias("cpu_max_pct"), F.lit(2.0).alias("mem_used_pct"))
     rows.repartition(10).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    baseline.run_by_blocks(stream, "host", str(tmp_path / "found"), str(tmp_path / "state"), str(tmp_path / "progress"), block_rows=8).awaitTermination()
-    assert held(spark) == before and len(os.listdir(tmp_path / "found")) >= 10
+    baseline.run_stateful(stream, "host", str(tmp_path / "found"), str(tmp_path / "progress")).awaitTermination()
+    assert held(spark) == before and spark.read.parquet(str(tmp_path / "found")).count() == 200
 
 
-def test_state_of_idle_streams_is_left_alone(spark, tmp_path):
-    """Only buckets with new rows get a version, and dead streams can be forgotten."""
+def test_idle_streams_are_forgotten(spark, tmp_path):
+    """With a time to live a stream that paused begins anew, over restarts; without one it goes on."""
     from vigilog.streaming import baseline
 
-    shape = "host string, line_no bigint, cpu_max_pct double, mem_used_pct double"
-    state, n = str(tmp_path / "state"), 0
-    for part in range(5):
-        hosts = [f"h{i}" for i in range(40)] if part == 0 else ["h1", "h2"]
+    shape, n = "host string, line_no bigint, cpu_max_pct double, mem_used_pct double", 0
+    for part in range(3):
         rows = []
-        for host in hosts:
+        for host in ["busy", "paused"] if part != 1 else ["busy"]:
             for _ in range(25):
                 n += 1
                 rows.append((host, n, float(n % 17), 1.0))
-        spark.createDataFrame(rows, shape).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema(shape).parquet(str(tmp_path / "in"))
-        baseline.run_by_blocks(
-            stream, "host", str(tmp_path / "out"), state, str(tmp_path / "progress"), buckets=8, forget_after=2
-        ).awaitTermination()
-        written = {b: sorted(os.listdir(f"{state}/{b}")) for b in os.listdir(state) if b.startswith("bucket=")}
+        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         if part:
-            touched = [b for b, v in written.items() if f"batch={part}" in v]
-            assert 1 <= len(touched) <= 2 and all(len(v) <= 2 for v in written.values())
-    left = {r.host for r in spark.read.parquet(*[f"{state}/{b}/batch=4" for b in touched]).collect()}
-    assert left == {"h1", "h2"} if len(touched) == 2 else left == {"h1", "h2"}
-    got = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "out"))
-    late = got.where("host = 'h1' and history = 20").count()
-    assert got.count() == 40 * 25 + 4 * 50 and late == 5 * 25 - 20
+            time.sleep(3)
+        for name, keep in (("kept", None), ("short", 2000)):
+            stream = spark.readStream.schema(shape).parquet(str(tmp_path / "in"))
+            baseline.run_stateful(stream, "host", str(tmp_path / name), str(tmp_path / f"{name}-progress"), keep_ms=keep).awaitTermination()
+    for name, starts in (("kept", {"busy": 1, "paused": 1}), ("short", {"busy": 3, "paused": 2})):
+        got = spark.read.parquet(str(tmp_path / name))
+        assert got.count() == 125
+        assert {r.host: r["count"] for r in got.where("history = 0").groupBy("host").count().collect()} == starts
+    assert spark.conf.get(baseline.PROVIDER, None) != baseline.ROCKSDB

@@ -69,3 +69,16 @@ def test_last_readings_are_cut_before_the_shuffle(spark, table):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan and plan.index("Partial") > plan.index("Exchange")
     assert df.count() == 3 * table.select("host_id").distinct().count()
+
+
+@pytest.mark.parametrize("kind", ["string", "timestamp", "double", "date"])
+def test_deep_pages_on_any_order_column(spark, kind):
+    """Ties, nulls and a page beyond the end; only the range of the wanted rank is ordered."""
+    x = {
+        "string": "concat('k', id % 37)", "timestamp": "timestamp_seconds(id % 37 * 1000)", "double": "id % 37 / 8D", "date": "date_add(date'2026-01-01', cast(id % 37 as int))",
+    }[kind]
+    df = spark.range(500).selectExpr("id", f"case when id % 50 <> 3 then {x} end as at", "cast(id % 2 as int) as is_anomaly").repartition(3)
+    for which in ("all", "anomaly"):
+        for page in (1, 2, 9, 17, 60):
+            deep = paging.page_of_records(df, page, 30, which, ["at", "id"], shallow_rows=-1).collect()
+            assert deep == paging.page_of_records(df, page, 30, which, ["at", "id"]).collect()

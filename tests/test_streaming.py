@@ -19,9 +19,9 @@ def arrivals(spark, parts, start):
         start(replay_lines(spark, inbox, schema=df.schema)).awaitTermination()
 
 
-def start_blocks(spark, out):
-    state, progress = scratch_path(spark, "state"), scratch_path(spark, "progress")
-    return lambda s: baseline.run_by_blocks(s, "host", out, state, progress, block_rows=16)
+def start_stateful(spark, out):
+    progress = scratch_path(spark, "progress")
+    return lambda s: baseline.run_stateful(s, "host", out, progress)
 
 
 def start_keyed(spark, out):
@@ -29,7 +29,7 @@ def start_keyed(spark, out):
     return lambda s: baseline.run_keyed(s, "host", out, progress)
 
 
-@pytest.mark.parametrize("start", [start_blocks, start_keyed])
+@pytest.mark.parametrize("start", [start_stateful, start_keyed])
 def test_rolling_stream_over_restarts(spark, start):
     """Hot and thin streams, one that pauses, and rows that come a batch too late."""
     parts, n = [], 0
@@ -109,3 +109,32 @@ def test_message_stream_end_to_end(spark):
     opened = kafka.open_envelopes(spark.readStream.text(inbox))
     alerts.run_alerts(opened, out, scratch_path(spark, "progress")).awaitTermination()
     assert spark.read.parquet(out).where(F.col("is_anomaly") == 1).count() == 40
+
+
+def test_messages_sent_twice_are_stored_once(spark):
+    """Repeats within a batch, in a later batch and after a restart, also of null keys and times."""
+    shape = "line_no bigint, raw_log string, sent_at double, producer bigint, topic string"
+    line = (
+        "2026-05-22 18:33:44 | INFO     | CPU:[12.3] MEM_PCT:23.4 MEM_AVAIL:1.0MB DISK_R:0.1MB DISK_W:0.4MB NET_S:1.0MB NET_R:3.0MB "
+        "TOP_PROC:pid=1 name=x cpu=4.0% STATUS:NORMAL"
+    )
+    rows = [(i, line, 1000.0 + i, 7, "t") for i in range(30)] + [(i, line, 1000.0, 8, "t") for i in range(3)] + [(None, line, None, 7, "t")]
+    inbox, out, progress = (scratch_path(spark, x) for x in ("in", "out", "progress"))
+    for part in (rows[:20] + rows[:5], rows[10:], rows):
+        spark.createDataFrame(part, shape).repartition(2).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(inbox)
+        alerts.run_alerts(alerts.sent_once(stream, "1 hour"), out, progress).awaitTermination()
+    got = spark.read.parquet(out).select("producer_pid", "kafka_offset").collect()
+    assert len(got) == len(set(got)) == 34
+    assert alerts.stream_counts(spark, alerts.counts_path(progress)).first().received == 34
+
+
+def test_a_repeat_by_the_broker_is_known_by_its_offset(spark):
+    shape = "line_no bigint, raw_log string, sent_at double, producer bigint, broker_topic string, broker_partition int, broker_offset bigint"
+    rows = [(1, "x", 1.0, 7, "t", p, o) for p in range(2) for o in range(5)]
+    inbox, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    spark.createDataFrame(rows + rows[:4], shape).write.parquet(inbox)
+    key = ("broker_topic", "broker_partition", "broker_offset")
+    once = alerts.sent_once(spark.readStream.schema(shape).parquet(inbox), "1 hour", key)
+    once.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(out).count() == 10

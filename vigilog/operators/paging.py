@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from vigilog.operators.labels import hit_tag, label_filter
 from vigilog.operators.quantiles import value_at_rank
+from vigilog.storage import materialize
 
 # Up to here a top-k with offset is cheaper than looking the start row up.
 SHALLOW_ROWS = 100_000
@@ -50,11 +51,8 @@ def _from_rank(rows: DataFrame, columns: list[str], rank: int, enough: int) -> t
             value = value_at_rank(rows, name, rank - nulls)
             below = nulls + rows.where(x < value).count() if value is not None else 0
         else:
-            # One row for each value, such as a file, is all that is ordered.
-            upto = F.sum("count").over(Window.orderBy(name).rowsBetween(Window.unboundedPreceding, 0))
-            first = rows.where(x.isNotNull()).groupBy(name).count().withColumn("_upto", upto).where(F.col("_upto") > rank - nulls).orderBy(name).first()
-            value = first[name] if first else None
-            below = nulls + first["_upto"] - first["count"] if first else 0
+            value, below = _value_by_ranges(rows, name, rank - nulls)
+            below += nulls
         if value is None:
             return None
         here, after = x == F.lit(value), x >= F.lit(value)
@@ -65,6 +63,24 @@ def _from_rank(rows: DataFrame, columns: list[str], rank: int, enough: int) -> t
     return after, rank - below
 
 
+def _value_by_ranges(rows: DataFrame, name: str, rank: int) -> tuple[object, int]:
+    """The value at a 0-based rank of a column of any order, nulls left out, and how many rows lie below it.
+
+    Values are counted and dealt to ranges in their order; a count of each range tells which one holds
+    the rank, and only that range is ordered.
+    """
+    counted = rows.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    ranged = materialize(counted.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "ranges")
+    below = 0
+    for part, n in ranged.groupBy("part").agg(F.sum("n")).orderBy("part").collect():
+        if rank < below + n:
+            upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+            found = ranged.where(F.col("part") == part).withColumn("upto", upto).where(F.col("upto") > rank - below).orderBy("v").first()
+            return found["v"], below + found["upto"] - found["n"]
+        below += n
+    return None, 0
+
+
 def page_after(df: DataFrame, last: int, per_page: int = 50, order_col: str = "line_no") -> DataFrame:
     """The next rows after order value ``last``, which must be unique; the filter reaches the scan."""
     return df.where(F.col(order_col) > last).orderBy(order_col).limit(per_page)

@@ -20,6 +20,8 @@ from vigilog.storage import materialize
 CPU, MEM = "cpu_max_pct", "mem_used_pct"
 BLOCK_ROWS = 1 << 20
 MAX_BROADCAST_STREAMS = 1_000_000
+# Blocks whose tails are handed on together.
+FAN = 1024
 
 
 def with_baseline(
@@ -81,12 +83,8 @@ def with_baseline(
         .groupBy(*home)
         .agg(F.sort_array(F.collect_list(F.struct(order_col, CPU, MEM))).alias("_tail"))
     )
-    # Every block has at least one row, so `window` earlier blocks are enough.
-    earlier = Window.partitionBy(*key).orderBy("_block").rowsBetween(-window, -1)
-    before = tails.withColumn("_before", F.flatten(F.collect_list("_tail").over(earlier)))
-    first = F.greatest(F.size("_before") - (window - 1), F.lit(1))
     halo = (
-        before.select(*home, F.explode(F.slice("_before", first, F.lit(window))).alias("_h"))
+        _handed_on(tails, key, window, block_rows).select(*home, F.explode("_before").alias("_h"))
         .select(
             *key, *[F.col(f"_h.{c}").alias(c) for c in (order_col, CPU, MEM)], "_block",
             F.lit(True).alias("_copy"),
@@ -119,6 +117,28 @@ def with_baseline(
     return settle(figures, "history", "cpu_mean", "cpu_std", "mem_mean", "mem_std")
 
 
+def _handed_on(tails: DataFrame, key: list[str], window: int, block_rows: int) -> DataFrame:
+    """``_before`` for each block: the last readings of the blocks before it.
+
+    Every block has at least one row, so ``window`` earlier blocks are enough. They are found
+    within spans of ``FAN`` blocks, and for the first ones of a span among the tails of the spans
+    before it, one row for each ``FAN`` blocks; so no task orders all tails of a stream.
+    """
+    newest = lambda readings: F.slice(readings, F.greatest(F.size(readings) - (window - 1), F.lit(1)), F.lit(window))
+    joined = lambda blocks: F.flatten(F.transform(blocks, lambda b: b["_tail"]))
+    spans = tails.groupBy(*key, _floor_to("_block", F.lit(block_rows * FAN)).alias("_span")).agg(
+        F.sort_array(F.collect_list(F.struct("_block", "_tail"))).alias("_blocks")
+    )
+    earlier = Window.partitionBy(*key).orderBy("_span").rowsBetween(-window, -1)
+    placed = spans.withColumn("_end", newest(joined(F.col("_blocks")))).withColumn("_outside", F.flatten(F.collect_list("_end").over(earlier)))
+    inside = lambda i: joined(F.slice("_blocks", F.greatest(i - window, F.lit(0)) + 1, F.least(i, F.lit(window))))
+    handed = F.transform(
+        F.sequence(F.lit(0), F.size("_blocks") - 1),
+        lambda i: F.struct(F.get("_blocks", i)["_block"].alias("_block"), newest(F.concat("_outside", inside(i))).alias("_before")),
+    )
+    return placed.select(*key, F.explode(handed).alias("_b")).select(*key, "_b.*")
+
+
 def _floor_to(order_col: str, width: Column) -> Column:
     order = F.col(order_col).cast("bigint")
     return order - F.pmod(order, width.cast("bigint"))

@@ -8,7 +8,7 @@ from vigilog.functions.parse import PARSED, with_parse
 from vigilog.operators.forest import ForestModel, with_score, with_verdict
 from vigilog.operators.labels import verdict
 from vigilog.operators.rolling import smart_alerts
-from vigilog.streaming.baseline import run_by_blocks
+from vigilog.streaming.baseline import run_stateful
 
 _PASSED = [
     "timestamp", "disk_read_mb", "disk_write_mb", "net_sent_mb", "net_recv_mb",
@@ -91,19 +91,19 @@ def first_scored(scored: DataFrame, n: int = 5, order_col: str = "line_no") -> D
 
 
 def run_scored_stream(
-    entries: DataFrame, model: ForestModel, stream_key: str, out: str, state: str, checkpoint: str,
+    entries: DataFrame, model: ForestModel, stream_key: str, out: str, checkpoint: str,
     order_col: str = "line_no", carry: list[str] | None = None, **options,
 ) -> StreamingQuery:
     """Streaming entries -> verdict of both detectors; baselines outlive the batches.
 
-    The forest is a map over the stream, the rolling baseline runs per
-    micro-batch; options as for ``run_by_blocks``.
+    The forest is a map over the stream, the rolling baseline is kept in the state store;
+    options as for ``run_stateful``.
     """
     passed = list(carry or [])
     scored = with_score(entries, model).select(
         stream_key, order_col, "cpu_max_pct", "mem_used_pct", "score", *passed
     )
-    return run_by_blocks(
-        scored, stream_key, out, state, checkpoint, order_col, ["score", *passed],
+    return run_stateful(
+        scored, stream_key, out, checkpoint, order_col, ["score", *passed],
         finish=lambda found: with_verdict(found, model.meta["offset"]), **options,
     )

@@ -8,9 +8,23 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vigilog.functions.parse import PARSED, with_parse
 
+# What names a message whatever broker offset a resend got.
+MESSAGE = ("producer", "line_no")
 NAMES = ("received", "parsed", "anomalies")
 
 
+def sent_once(envelopes: DataFrame, within: str, key: tuple[str, ...] = MESSAGE) -> DataFrame:
+    """Streaming envelopes without those that a sender repeats after a failure.
+
+    A message is known by ``key``: producer and line number, or the broker's topic, partition and
+    offset where only the delivery repeats. Keys stay in the state store, over restarts too,
+    until the watermark, which follows ``sent_at`` by ``within``, has passed them; a message without
+    the time of sending counts as sent now. Keys spread by hash; one with a null is a key too.
+    """
+    at = F.coalesce(F.timestamp_seconds("sent_at"), F.current_timestamp())
+    return envelopes.withColumn("_sent", at).withWatermark("_sent", within).dropDuplicatesWithinWatermark(list(key)).drop("_sent")
+
+
 def run_alerts(
     envelopes: DataFrame, out: str, checkpoint: str, available_now: bool = True, counts: str | None = None,
 ) -> StreamingQuery:
@@ -19,7 +33,8 @@ def run_alerts(
     Without a key or an aggregate the job has no shuffle and no state. Entries go to
     ``out/batch=n/is_anomaly=x``; a row of counts goes to ``counts/batch=n`` (by default
     beside the checkpoint). A batch that is run again after a failure replaces its own
-    folders, so each entry is stored and counted once. A broker's own topic, partition
+    folders, so each entry is stored and counted once; for messages that the sender repeats
+    pass the envelopes through ``sent_once``. A broker's own topic, partition
     and offset stay as ``broker_topic``, ``broker_partition`` and ``broker_offset``; the
     envelope's line number is ``kafka_offset``.
     """

@@ -1,122 +1,32 @@
-"""The rolling baseline on a live stream.
+"""The rolling baseline on a live stream, with the last readings of every stream in Spark's state store.
 
-Two ways with the same results:
+* ``run_stateful`` keeps them as a list in RocksDB by ``transformWithStateInPandas``; streams
+  without rows for a while can be forgotten.
+* ``keyed_alerts`` keeps them by ``applyInPandasWithState``, for sessions with another state store.
 
-* ``run_by_blocks`` treats each micro-batch as a table that begins with the last
-  readings of every stream. It reuses the batch operator, so a stream with a
-  large share of the rows is spread over tasks.
-* ``keyed_alerts`` keeps the last readings in Spark's state store, one group per
-  stream; for many streams of moderate rate and short triggers.
+Both give what the batch operator gives. A group is one stream's rows of one micro-batch:
+bound it by the source's ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``.
 """
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from vigilog.operators.rolling import (
-    BLOCK_ROWS, CPU, MEM, smart_alerts, with_smart_alert, with_zscores,
-)
+from vigilog.operators.rolling import CPU, MEM, with_smart_alert, with_zscores
 from vigilog.schema import ROLLING_WINDOW
-from vigilog.storage import remove, scratch
 
-
-BUCKETS = 64
-
-
-def run_by_blocks(
-    entries: DataFrame, stream_key: str, out: str, state: str, checkpoint: str,
-    order_col: str = "line_no", carry: list[str] | None = None,
-    available_now: bool = True, block_rows: int = BLOCK_ROWS,
-    finish: Callable[[DataFrame], DataFrame] | None = None,
-    buckets: int = BUCKETS, forget_after: int | None = None,
-) -> StreamingQuery:
-    """Detections to ``out``; the last readings per stream to ``state``.
-
-    ``finish`` is applied to the detections of a batch before they are written.
-
-    State lies in ``buckets`` folders by a hash of the stream, with a version for each
-    batch that touched the bucket. Batch ``n`` reads the newest version before ``n`` of the
-    buckets its rows fall into, and replaces its own output and versions, so a batch that is
-    run again after a failure leaves the same files. Other buckets are neither read nor
-    written, and only streams with new rows are windowed. ``forget_after`` drops a stream,
-    when its bucket is next written, that had no row in so many batches.
-
-    Within a batch rows are ordered by ``order_col``; rows of a later batch come after all
-    earlier ones. Keep ``buckets`` as it was when the checkpoint began.
-    """
-    passed = list(carry or [])
-    kind = dict(entries.select(stream_key).dtypes)[stream_key]
-    held = f"{stream_key} {kind}, place int, {CPU} double, {MEM} double, seen bigint"
-    bucket = F.pmod(F.xxhash64(stream_key), F.lit(buckets)).cast("int")
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        rows = batch.select(stream_key, order_col, CPU, MEM, *passed).persist()
-        try:
-            with scratch(session):
-                detect(session, rows, batch_id)
-        finally:
-            rows.unpersist()
-
-    def detect(session: SparkSession, rows: DataFrame, batch_id: int) -> None:
-        size = rows.agg(F.count(F.lit(1)).alias("n"), F.collect_set(bucket).alias("touched")).first()
-        versions = {b: _versions(session, f"{state}/bucket={b}", batch_id) for b in size.touched}
-        paths = [f"{state}/bucket={b}/batch={v[-1]}" for b, v in versions.items() if v]
-        last = session.read.schema(held).parquet(*paths) if paths else session.createDataFrame([], held)
-        starts = rows.groupBy(stream_key).agg(F.min(order_col).alias("_start")).withColumnRenamed(stream_key, "_stream")
-        active = F.col(stream_key).eqNullSafe(F.col("_stream"))
-        # Earlier readings take the order values just below the batch.
-        place = F.coalesce(F.col("_start"), F.lit(0)) - (ROLLING_WINDOW + 1) + F.col("place")
-        earlier = last.join(starts, active).select(
-            stream_key, place.cast("bigint").alias("_pos"), CPU, MEM, F.lit(False).alias("_new")
-        )
-        whole = rows.select(
-            stream_key, F.col(order_col).cast("bigint").alias("_pos"), CPU, MEM,
-            F.lit(True).alias("_new"), *passed,
-        ).unionByName(earlier, allowMissingColumns=True)
-        found = smart_alerts(
-            whole, stream_key=stream_key, order_col="_pos", carry=["_new", *passed],
-            block_rows=block_rows, cut=size.n + ROLLING_WINDOW > block_rows,
-        )
-        fresh = found.where("_new").drop("_new").withColumnRenamed("_pos", order_col)
-        (finish(fresh) if finish else fresh).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        newest = Window.partitionBy(stream_key).orderBy(F.desc("_pos"))
-        now = (
-            whole.withColumn("_n", F.row_number().over(newest))
-            .where(F.col("_n") <= ROLLING_WINDOW)
-            .select(stream_key, (ROLLING_WINDOW + 1 - F.col("_n")).cast("int").alias("place"), CPU, MEM, F.lit(batch_id).cast("bigint").alias("seen"))
-        )
-        idle = last.join(starts, active, "left_anti")
-        if forget_after is not None:
-            idle = idle.where(F.col("seen") >= batch_id - forget_after)
-        (
-            now.unionByName(idle).withColumns({"bucket": bucket, "batch": F.lit(batch_id).cast("bigint")})
-            .repartition(min(buckets, max(1, len(size.touched))), "bucket")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(state)
-        )
-        for b, v in versions.items():
-            # A restart may ask for the newest version before this one, not for older ones.
-            for old in v[:-1]:
-                remove(session, f"{state}/bucket={b}/batch={old}")
-
-    writer = entries.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
-
-
-def _versions(spark: SparkSession, folder: str, before: int) -> list[int]:
-    """Batches below ``before`` that have a version in a bucket's folder, in order."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return []
-    names = (s.getPath().getName() for s in files.listStatus(path))
-    return sorted(v for n in names if n.startswith("batch=") and (v := int(n[6:])) < before)
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# With a time to live the operator asks for batches without data for ever, so that a query over what is there never ends.
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+FIGURES = ["cpu_mean", "cpu_std", "mem_mean", "mem_std"]
 
 
 def preceding_stats(values: np.ndarray, before: int, window: int) -> tuple:
@@ -139,47 +49,117 @@ def preceding_stats(values: np.ndarray, before: int, window: int) -> tuple:
     return count, mean, std
 
 
-def keyed_alerts(
-    entries: DataFrame, stream_key: str, order_col: str = "line_no",
-    carry: list[str] | None = None, window: int = ROLLING_WINDOW,
+def with_figures(new: pd.DataFrame, cpu: list[float], mem: list[float], window: int) -> tuple[pd.DataFrame, list[float], list[float]]:
+    """One stream's new rows in order with their window figures, and the readings to keep."""
+    kept = []
+    for column, short, old in ((CPU, "cpu", cpu), (MEM, "mem", mem)):
+        values = np.concatenate([np.asarray(old, float), new[column].to_numpy(float)])
+        count, mean, std = preceding_stats(values, len(old), window)
+        new["history"], new[f"{short}_mean"], new[f"{short}_std"] = count, mean, std
+        kept.append(values[-window:].tolist())
+    return new, *kept
+
+
+def _figured(rows: DataFrame) -> T.StructType:
+    figures = [T.StructField("history", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in FIGURES]]
+    return T.StructType(rows.schema.fields + figures)
+
+
+def _checked(figured: DataFrame) -> DataFrame:
+    """The checks on the figures; without history these are null here as in the batch operator."""
+    nan = F.lit(float("nan"))
+    return with_smart_alert(with_zscores(figured.withColumns({c: F.coalesce(F.col(c), nan) for c in (CPU, MEM)})))
+
+
+class LastReadings(StatefulProcessor):
+    """Adds the window figures to a stream's rows; its state is a list of the last readings."""
+
+    def __init__(self, order_col: str, names: list[str], window: int, keep_ms: int | None):
+        self.order_col, self.names, self.window, self.keep_ms = order_col, names, window, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        reading = T.StructType([T.StructField("cpu", T.DoubleType()), T.StructField("mem", T.DoubleType())])
+        self.last = handle.getListState("last", reading, ttlDurationMs=self.keep_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        past = list(self.last.get())
+        new = pd.concat(list(rows)).sort_values(self.order_col)
+        new, cpu, mem = with_figures(new, [r[0] for r in past], [r[1] for r in past], self.window)
+        self.last.put(list(zip(cpu, mem)))
+        yield new[self.names]
+
+    def close(self) -> None:
+        pass
+
+
+def stateful_alerts(
+    entries: DataFrame, stream_key: str, order_col: str = "line_no", carry: list[str] | None = None,
+    window: int = ROLLING_WINDOW, keep_ms: int | None = None,
 ) -> DataFrame:
-    """Streaming entries -> baseline, z-scores and smart alert per entry.
+    """Streaming entries -> baseline, z-scores and smart alert per entry; needs the RocksDB state store, see ``run_stateful``.
 
-    State per stream is two lists of at most ``window`` readings. The group
-    function only adds the window figures; the checks stay Spark expressions.
-    A group is one stream's rows of one micro-batch: bound it by the source's
-    ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``.
+    Within a micro-batch rows are ordered by ``order_col``; rows of a later batch come after all
+    earlier ones. A stream that had no row for ``keep_ms`` milliseconds of processing time is
+    forgotten and begins anew; without it readings are kept for good.
     """
     rows = entries.select(stream_key, order_col, CPU, MEM, *(carry or []))
-    stats = ["cpu_mean", "cpu_std", "mem_mean", "mem_std"]
-    result = T.StructType(
-        rows.schema.fields
-        + [T.StructField("history", T.LongType())]
-        + [T.StructField(c, T.DoubleType()) for c in stats]
+    shape = _figured(rows)
+    figured = rows.groupBy(stream_key).transformWithStateInPandas(
+        LastReadings(order_col, shape.names, window, keep_ms), shape, "Append", "ProcessingTime" if keep_ms else "None"
     )
+    return _checked(figured)
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, **wanted: str) -> Iterator[None]:
+    """Queries started inside take these settings with them; the session's own are restored."""
+    names = {"provider": PROVIDER, "empty_batches": EMPTY_BATCHES}
+    before = {names[k]: spark.conf.get(names[k], None) for k in wanted}
+    for k, value in wanted.items():
+        spark.conf.set(names[k], value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def run_stateful(
+    entries: DataFrame, stream_key: str, out: str, checkpoint: str, order_col: str = "line_no",
+    carry: list[str] | None = None, available_now: bool = True, keep_ms: int | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
+    """``stateful_alerts`` to Parquet files, each row once; ``finish`` is applied to them before."""
+    found = stateful_alerts(entries, stream_key, order_col, carry, keep_ms=keep_ms)
+    writer = (
+        (finish(found) if finish else found).writeStream.format("parquet").outputMode("append")
+        .option("path", out).option("checkpointLocation", checkpoint)
+    )
+    with settings(entries.sparkSession, provider=ROCKSDB, empty_batches="false"):
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def keyed_alerts(
+    entries: DataFrame, stream_key: str, order_col: str = "line_no",
+    carry: list[str] | None = None, window: int = ROLLING_WINDOW,
+) -> DataFrame:
+    """As ``stateful_alerts``, with two lists of at most ``window`` readings in any state store."""
+    rows = entries.select(stream_key, order_col, CPU, MEM, *(carry or []))
+    shape = _figured(rows)
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         past = state.get if state.exists else ([], [])
-        new = pd.concat(list(chunks)).sort_values(order_col)
-        kept = []
-        for column, short, old in ((CPU, "cpu", past[0]), (MEM, "mem", past[1])):
-            values = np.concatenate([np.asarray(old, float), new[column].to_numpy(float)])
-            count, mean, std = preceding_stats(values, len(old), window)
-            new["history"], new[f"{short}_mean"], new[f"{short}_std"] = count, mean, std
-            kept.append(values[-window:].tolist())
-        state.update(tuple(kept))
-        yield new[result.names]
+        new, cpu, mem = with_figures(pd.concat(list(chunks)).sort_values(order_col), past[0], past[1], window)
+        state.update((cpu, mem))
+        yield new[shape.names]
 
     figured = rows.groupBy(stream_key).applyInPandasWithState(
-        step, result, "cpu array<double>, mem array<double>", "append", GroupStateTimeout.NoTimeout
-    )
-    nan = F.lit(float("nan"))
-    # Without history the figures are null here as in the batch operator.
-    return with_smart_alert(
-        with_zscores(
-            figured.withColumns({c: F.coalesce(F.col(c), nan) for c in (CPU, MEM)})
-        )
+        step, shape, "cpu array<double>, mem array<double>", "append", GroupStateTimeout.NoTimeout
     )
+    return _checked(figured)
 
 
 def run_keyed(
