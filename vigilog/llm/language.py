@@ -98,18 +98,22 @@ class Filter:
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", rows_per_lang: int = 1000, share: float = 0.02) -> Filter:
-    """Learns a ``Filter`` from at most about ``rows_per_lang`` rows of each language, chosen by a hash of the text.
+    """Learns a ``Filter`` from at most about ``rows_per_lang`` distinct texts of each language, chosen by a hash of the text.
 
-    A language contains an n-gram that at least ``share`` of its rows (and two) hold. Rows
+    Copies count once, so a text of a third of all rows neither fills the sample nor makes it
+    larger. A language contains an n-gram that at least ``share`` of its texts (and two) hold. Rows
     with null text or language teach nothing. Only n-grams above that share reach the
     driver: as many as rows hold on average, over ``share``, for each language.
     """
     known = docs.where(col(text).isNotNull() & col(lang).isNotNull()).select(col(text).alias("text"), col(lang).cast("string").alias("lang"))
-    rows = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
+    known = known.withColumn("_hash", F.xxhash64("text"))
+    # A shuffle of hashes alone; texts are shuffled for those drawn only.
+    rows = {r.lang: r["count"] for r in known.select("lang", "_hash").distinct().groupBy("lang").count().collect()}
     langs = sorted(rows)
     spark = docs.sparkSession
     shares = spark.createDataFrame([(x, min(1.0, rows_per_lang / rows[x])) for x in langs], "lang string, part double")
-    some = known.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("part") * (1 << 30)).select("text", "lang")
+    drawn = known.join(F.broadcast(shares), "lang").where(F.pmod("_hash", F.lit(1 << 30)) < F.col("part") * (1 << 30))
+    some = drawn.groupBy("lang", "_hash").agg(F.first("text").alias("text")).select("text", "lang")
 
     def count(frames):
         for pdf in frames:
