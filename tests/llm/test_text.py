@@ -107,6 +107,27 @@ def test_rare_terms_are_learned_beside_a_copied_text(spark):
     assert judge.score(" ".join(f"ordinary{c}" for c in "abcdefgh"))[1] == 0
 
 
+def test_forgotten_steps_change_no_match(monkeypatch):
+    rng = random.Random(3)
+    some = ["".join(rng.choices("abcdé", k=rng.randint(1, 12))) for _ in range(300)]
+    terms = {"abcd": False, "abcddcba": False, "bcabcab": True}
+    want = [toxicity.Lexicon(terms).match(w) for w in some]
+    monkeypatch.setattr(toxicity, "KNOWN_STEPS", 20)
+    small = toxicity.Lexicon(terms)
+    assert [small.match(w) for w in some] == want and small.kept <= 20 + 13
+
+
+def test_chance_finds_among_many_candidates_are_left(spark):
+    """Toxic rows of mostly unique words: the candidates too rare to be chosen count as tried."""
+    rng = random.Random(23)
+    rare = lambda n: ["".join(rng.choices("abcdefghijklm", k=9)) for _ in range(n)]
+    rows = [(" ".join(rare(60) + ["scumbagger"]), 1) for _ in range(40)] + [(" ".join(rare(60)), 0) for _ in range(300)]
+    rows += [(" ".join(rare(60) + ["harmlessly"]), 1) for _ in range(3)] + [(" ".join(rare(60) + ["vielleicht"]), 0) for _ in range(5)]
+    learned = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int").repartition(4), "text", "toxic")
+    assert [t for t in learned["terms"] if "scumbagger".startswith(t)]
+    assert all("scumbagger".startswith(t) for t in learned["terms"])
+
+
 def test_held_out_toxicity(spark):
     from vigilog.llm.queries import QUERIES, table
 
@@ -165,6 +186,17 @@ def test_more_languages_than_bits(spark):
     assert all(r.lang == r.lang_pred for r in language.with_language(docs, learned).collect())
 
 
+def test_a_copied_text_does_not_fill_the_language_sample(spark):
+    """A third of all rows hold one text; drawn or not, the other texts of its language are learned."""
+    rng = random.Random(4)
+    line = lambda letters: " ".join("".join(rng.choices(letters, k=5)) for _ in range(20))
+    hot = [(line("xyz"), "aa")] * 900
+    rows = hot + [(line("abcd"), "aa") for _ in range(600)] + [(line("mnop"), "bb") for _ in range(600)]
+    learned = language.learn(spark.createDataFrame(rows, "text string, lang string").repartition(5), rows_per_lang=100)
+    fresh = spark.createDataFrame([(line("abcd"), "aa") for _ in range(30)] + [(line("mnop"), "bb") for _ in range(30)], "text string, lang string")
+    assert all(r.lang == r.lang_pred for r in language.with_language(fresh, learned).collect())
+
+
 def test_held_out_language(spark):
     from vigilog.llm.queries import QUERIES, table
 

@@ -26,6 +26,7 @@ NEAR = 6
 WINDOW = 64
 PREFIXES = range(4, 11)
 KNOWN_WORDS = 150_000
+KNOWN_STEPS = 500_000
 COUNTED_AT_ONCE = 100_000
 
 
@@ -34,8 +35,8 @@ class Lexicon:
 
     States are sets of (node, edits, awaited letter). One edit is an insertion, a deletion,
     a substitution or a swap of neighbours. State sets are built when first met and kept,
-    so that a word costs one dictionary step for each letter until no term is near.
-    An open term accepts every word that begins with it.
+    so that a word costs one dictionary step for each letter until no term is near; beyond
+    ``KNOWN_STEPS`` kept steps they are built anew. An open term accepts every word that begins with it.
     """
 
     def __init__(self, terms: dict[str, bool]):
@@ -56,9 +57,13 @@ class Lexicon:
                 node = self.children[node][letter]
                 self.most[node] = max(self.most[node], allowed)
             self.term_at[node] = term
+        self._forget()
+
+    def _forget(self) -> None:
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
+        self.kept = 0
         self.start = self._state(self._closed({(0, 0, "")}))
 
     @staticmethod
@@ -107,6 +112,7 @@ class Lexicon:
                         found.add((swapped, edits + 1, other))
         target = self._state(self._closed(found))
         self.steps[state][letter] = target
+        self.kept += 1
         return target
 
     def _accepted(self, state: int, whole: bool) -> list[tuple[int, int, str]]:
@@ -117,6 +123,8 @@ class Lexicon:
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its edits, ties to the longest; None if no term is near."""
+        if self.kept > KNOWN_STEPS:
+            self._forget()
         state, found = self.start, []
         for letter in word:
             target = self.steps[state].get(letter)
@@ -142,7 +150,10 @@ def _words(text: str) -> Counter:
 
 
 def _counted(text: str, asked: frozenset | None = None) -> Counter:
-    """Candidates of a text: its words (marked by a final blank) and their first letters."""
+    """Candidates of a text: its words of 3 to 30 letters (marked by a final blank) and the first letters of all its words.
+
+    Longer words are known by their beginnings alone, so no term of the lexicon is longer.
+    """
     found: Counter = Counter()
     for word, n in _words(text).items():
         for t in (*[word[:k] for k in PREFIXES if len(word) >= k], *([f"{word} "] if 3 <= len(word) <= 30 else [])):
@@ -277,7 +288,8 @@ def learn(rows: DataFrame, text: str, label: str, ratio: float = 8.0) -> dict:
 
         return part.mapInPandas(count, "term string, n long, d long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
 
-    candidates = materialize(counted(rows.where("label = 1"), None).where("d >= 3 or term = ''"), "candidates")
+    candidates = materialize(counted(rows.where("label = 1"), None), "candidates")
+    # All that were met, also those too rare to be chosen: the more are tried, the more chance finds.
     tried = candidates.where("term <> ''").count()
     least = least_rows(sizes, tried)
     toxic = {r.term: (r.n, r.d) for r in candidates.where((F.col("d") >= least) | (F.col("term") == "")).collect()}
