@@ -13,7 +13,7 @@ from vigilog.functions import parse as P
 from vigilog.functions.numeric import float_text, round_exact
 from vigilog.operators import evaluate, forest, inject, labels, paging, rolling, stats
 from vigilog.operators.quantiles import exact_quantile
-from vigilog.plans import scoring
+from vigilog.plans import scoring, versions
 from vigilog.schema import FEATURES, TABLE_SCHEMA
 from vigilog.sinks import alerts as alert_sink
 from vigilog.sinks import tables as table_sink
@@ -913,6 +913,32 @@ def m9_stream(spark, sf):
     return found.select("host_id", "line_no", "score", "iso_anomaly", "smart_alert", "is_anomaly", "label")
 
 
+@query(
+    "m9_model_versions",
+    f"""{KEYED_SQL}, half as (select cast(floor(max(line_no) / 2) as bigint) as h from l)
+    select host_id, line_no, smart_alert, cast(case when line_no <= h then 1 else 2 end as bigint) as model_version, true as agrees
+    from d, half""",
+)
+def m9_versions(spark, sf):
+    # Half of the entries arrive, another model is published, the rest arrives; each row has the score of its version.
+    table = materialize(labels.flatten(entries(spark, sf)).select("host_id", "line_no", *FEATURES), "entries")
+    models, inbox, out, progress = (scratch_path(spark, x) for x in ("models", "inbox", "verdicts", "progress"))
+    half = log_lines(spark, sf).agg(F.floor(F.max("line_no") / 2)).first()[0]
+    fitted = []
+    for seed, part in ((1, table.where(F.col("line_no") <= half)), (2, table.where(F.col("line_no") > half))):
+        fitted.append(forest.fit_forest(table, ["line_no"], seed=seed))
+        versions.publish_model(fitted[-1], models)
+        part.write.mode("append").parquet(inbox)
+        arriving = replay.replay_lines(spark, inbox, schema=table.schema)
+        versions.run_versioned_stream(arriving, models, "host_id", out, progress).awaitTermination()
+    scores = [
+        forest.with_score(table, m).select("host_id", "line_no", F.lit(i + 1).cast("long").alias("model_version"), round_exact("score", 4).alias("want"))
+        for i, m in enumerate(fitted)
+    ]
+    found = spark.read.parquet(out).join(scores[0].unionByName(scores[1]), ["host_id", "line_no", "model_version"], "left")
+    return found.select("host_id", "line_no", "smart_alert", "model_version", F.coalesce(F.col("score") == F.col("want"), F.lit(False)).alias("agrees"))
+
+
 @query("k4_model")
 def k4(spark, sf):
     table, model = trained(spark, sf)

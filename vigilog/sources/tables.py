@@ -28,7 +28,7 @@ def overview(df: DataFrame) -> DataFrame:
     )
 
 
-def _optional(read):
+def optional(read):
     try:
         return read()
     except AnalysisException as e:
@@ -42,7 +42,7 @@ def read_report(spark: SparkSession, path: str) -> DataFrame | None:
 
     A report without the rolling section has null there.
     """
-    return _optional(
+    return optional(
         lambda: spark.read.schema(REPORT_SCHEMA).option("multiLine", True).json(path)
     )
 
@@ -59,7 +59,7 @@ def read_model(spark: SparkSession, path: str):
     """A saved model, or None ("not loaded") unless all its parts are there."""
     from vigilog.operators.forest import ForestModel
 
-    parts = [_optional(lambda p=p: spark.read.parquet(f"{path}/{p}")) for p in ("scaler", "nodes", "meta")]
+    parts = [optional(lambda p=p: spark.read.parquet(f"{path}/{p}")) for p in ("scaler", "nodes", "meta")]
     if any(p is None for p in parts):
         return None
     scaler, nodes, meta = parts
