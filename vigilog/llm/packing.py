@@ -12,8 +12,8 @@ from vigilog.llm.frame import col, pack, short_batches, unpack
 from vigilog.storage import materialize
 
 LENGTH = 4096
-# What the tokenizer's pre-tokenizer surely keeps apart: a run of Latin-1 letters and the ASCII signs after it.
-ENDED = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+# What the tokenizer's pre-tokenizer surely keeps apart: a Latin-1 letter and an ASCII sign right after it.
+SIGN = re.compile(r"[!-&(-/:-@\[-`{-~](?<=[a-zß-öø-ÿ].)")
 WORD_OF = re.compile(r"[a-zß-öø-ÿ]+")
 # Python's split() takes more signs for space than the tokenizer does, or means them otherwise.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0]")
@@ -24,8 +24,8 @@ BATCH = 256
 class Ids:
     """Token ids of texts by a tokenizer that works word by word, each word encoded once.
 
-    The tokenizer drops white space and lower-cases, so a text is split at its spaces and
-    each distinct piece encoded by the tokenizer itself. A text that holds anything beyond
+    The tokenizer drops white space and lower-cases, so a text is split at its spaces, and between
+    a letter and a sign, and each distinct piece encoded by the tokenizer itself. A text that holds anything beyond
     Latin-1, where lower case or composition could depend on neighbours, or an added token
     of the file, goes to it whole.
     """
@@ -73,21 +73,12 @@ class Ids:
             if ODD_SPACE.search(text) or any(t in low for t in self.added):
                 found[i] = self._encode([text])[0]
                 continue
-            parts = low.split()
-            ids = list(map(known.get, parts))
-            missing = [j for j, x in enumerate(ids) if x is None] if None in ids else []
-            split.append((i, parts, ids, missing))
-            for j in missing:
-                if m := ENDED.fullmatch(parts[j]):
-                    new.update(dict.fromkeys(x for x in m.groups() if x not in known))
-                else:
-                    new[parts[j]] = None
+            parts = SIGN.sub(r" \g<0>", low).split()
+            new.update(dict.fromkeys(set(parts).difference(known)))
+            split.append((i, parts))
         self._learn(list(new))
-        for i, parts, ids, missing in split:
-            for j in missing:
-                m = ENDED.fullmatch(parts[j])
-                ids[j] = known[m[1]] + known[m[2]] if m else known[parts[j]]
-            found[i] = b"".join(ids)
+        for i, parts in split:
+            found[i] = b"".join(map(known.__getitem__, parts))
         return found
 
 
