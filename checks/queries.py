@@ -11,13 +11,13 @@ from checks.sql import (
 from vigilog.functions import lines as L
 from vigilog.functions import parse as P
 from vigilog.functions.numeric import float_text, round_exact
-from vigilog.operators import evaluate, forest, inject, labels, paging, rolling, stats
+from vigilog.operators import evaluate, forest, inject, labels, paging, rolling, sketches, stats
 from vigilog.operators.quantiles import exact_quantile
 from vigilog.plans import scoring, versions
 from vigilog.schema import FEATURES, TABLE_SCHEMA
 from vigilog.sinks import alerts as alert_sink
 from vigilog.sinks import tables as table_sink
-from vigilog.sources import kafka, replay
+from vigilog.sources import follow, kafka, replay
 from vigilog.sources import tables as table_source
 from vigilog.sources.text import read_log
 from vigilog.storage import materialize, scratch_path
@@ -856,6 +856,24 @@ def m6(spark, sf):
     )
 
 
+@query(
+    "m6_arriving",
+    """with s as (select -0.35 - cast((event_id*7919)%10007 as double)/20014 as score from events)
+    select count(*) as total, round(quantile_cont(score, 0.05), 9) as threshold, true as estimate_near from s""",
+)
+def m6_arriving(spark, sf):
+    # Scores arrive in four batches, each leaving a sketch; the threshold is then made exact.
+    score = -0.35 - ((F.col("event_id") * 7919) % 10007).cast("double") / 20014
+    scores = materialize(events(spark, sf).select(score.alias("score"), (F.col("event_id") % 4).alias("part")), "scores")
+    folder = scratch_path(spark, "sketches")
+    for i in range(4):
+        sketches.add_batch(scores.where(F.col("part") == i), "score", folder, i)
+    summary = sketches.merged(spark, folder)
+    exact = sketches.quantile_by_sketch(scores, "score", 0.05, summary)
+    near = abs(sketches.sketched_quantile(summary, 0.05) - exact) < 0.02
+    return summary.select("n", F.round(F.lit(exact), 9).alias("threshold"), F.lit(near).alias("estimate_near")).withColumnRenamed("n", "total")
+
+
 @query(
     "m7_map",
     """with s as (select event_id, -0.35 - cast((event_id*7919)%10007 as double)/20014 as score from events)
@@ -1090,6 +1108,27 @@ def s4_text(spark, sf):
     return spark.read.parquet(out).select("line_no", F.col("raw_log").alias("value"))
 
 
+@query("s4_follow", f"{LINES_SQL} select line_no, value from l")
+def s4_follow(spark, sf):
+    # The log in files by range, half of them written after the first run of the stream.
+    folder, out, progress = (scratch_path(spark, x) for x in ("growing", "followed", "follow-progress"))
+    lines = log_lines(spark, sf).select("line_no", "value")
+    half = lines.agg(F.max("line_no")).first()[0] // 2
+
+    def store(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    for i, part in enumerate((lines.where(F.col("line_no") <= half), lines.where(F.col("line_no") > half))):
+        ordered = part.repartitionByRange("line_no").sortWithinPartitions("line_no")
+        ordered.select("value").write.text(f"{folder}/{i}")
+        follow.run_numbered(follow.follow_log(spark, folder, "part-*"), store, progress).awaitTermination()
+    found = spark.read.parquet(out)
+    sizes = found.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = found.join(F.broadcast(sizes.select("file", before.alias("_before"))), "file")
+    return placed.select((F.col("line_no") + F.col("_before")).alias("line_no"), "value")
+
+
 @query(
     "s4_replay",
     f"""{LINES_SQL} select line_no, value from l

@@ -95,10 +95,17 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
     ends = _ends(df, column)
     if not ends.n:
         return None
-    place = (ends.n - 1) * p
-    rank = math.floor(place)
-    part = place - rank
-    a, b = _search(df, column, rank, ends.lo, ends.hi, 0)
+    rank, part = place_of(ends.n, p)
+    return interpolated(*_search(df, column, rank, ends.lo, ends.hi, 0), part)
+
+
+def place_of(n: int, p: float) -> tuple[int, float]:
+    """The 0-based rank at or below the ``p`` quantile of ``n`` values, and the part of the step to the next."""
+    place = (n - 1) * p
+    return math.floor(place), place - math.floor(place)
+
+
+def interpolated(a, b, part: float) -> float:
     if part == 0 or a == b or b is None:
         return float(a)
     if math.isinf(a) or math.isinf(b):
