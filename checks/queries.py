@@ -23,6 +23,7 @@ from vigilog.sources.text import read_log
 from vigilog.storage import materialize, scratch_path
 from vigilog.streaming import alerts as alert_stream
 from vigilog.streaming import baseline as baseline_stream
+from vigilog.streaming import progress as progress_table
 
 # Small blocks, so that the hand-over between blocks is exercised at every scale.
 BLOCK = 4096
@@ -1045,6 +1046,28 @@ def a10(spark, sf):
     return alert_stream.stream_counts(spark, counts).select("received", "parsed", "anomalies")
 
 
+@query("a10_stream_rates", f"{LINES_SQL} select count(*) as rows, cast(8 as bigint) as batches, true as rated from l")
+def a10_rates(spark, sf):
+    # Eight files, one a batch, with a restart half way; the figures come from the listener's table.
+    inbox, out, checkpoint, folder = (scratch_path(spark, x) for x in ("inbox", "sent", "sent-progress", "rates"))
+    lines = log_lines(spark, sf).select("line_no", "value")
+    table = progress_table.ProgressTable(spark, folder)
+    spark.streams.addListener(table)
+    try:
+        for half in (0, 1):
+            lines.where(F.col("line_no") % 2 == half).repartition(4).write.mode("append").parquet(inbox)
+            run = (
+                replay.replay_lines(spark, inbox, max_files=1).writeStream.format("parquet").option("path", out)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            )
+            run.awaitTermination()
+            table.finish(run)
+    finally:
+        spark.streams.removeListener(table)
+    found = progress_table.rates(progress_table.read_progress(spark, folder))
+    return found.select("rows", "batches", (F.col("rows_per_second") > 0).alias("rated"))
+
+
 def replayed(spark, sf, batches: int = 124):
     """The lines as so many files, one a batch, with a restart half way: entries, counts and number of batches."""
     inbox, out, progress = (scratch_path(spark, x) for x in ("inbox", "alerts", "alerts-progress"))
