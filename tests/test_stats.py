@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from vigilog.operators import evaluate, paging, rolling, stats
@@ -82,3 +83,40 @@ def test_deep_pages_on_any_order_column(spark, kind):
         for page in (1, 2, 9, 17, 60):
             deep = paging.page_of_records(df, page, 30, which, ["at", "id"], shallow_rows=-1).collect()
             assert deep == paging.page_of_records(df, page, 30, which, ["at", "id"]).collect()
+
+
+@pytest.mark.parametrize("order", [["at", "x"], ["x"], ["name", "at"], ["at"]])
+def test_wide_pages_are_the_same_pages_in_many_tasks(spark, order):
+    """Ties, nulls, NaN, both zeros, and copies that lie across the end of a page."""
+    df = spark.range(600).repartition(3).selectExpr(
+        "case when id % 50 <> 3 then id % 7 end as at",
+        "case when id % 31 = 0 then double('nan') when id % 29 = 0 then null when id % 23 = 0 then -0.0D else id % 5 / 8D end as x",
+        "case when id % 11 <> 2 then concat('k', id % 3) end as name",
+        "cast(id % 2 as int) as is_anomaly",
+        "if(id % 3 = 0, 0, id) as copy",
+    )
+    whole = df.orderBy(*order, F.xxhash64(*df.columns)).collect()
+    text = lambda rows: [str(r).replace("-0.0", "0.0") for r in rows]
+    for page, size in ((1, 250), (2, 250), (3, 250), (4, 250), (2, 41), (1, 700)):
+        wide = paging.page_of_records(df, page, size, order_col=order, wide_rows=0)
+        assert text(wide.collect()) == text(whole[(page - 1) * size : page * size]), (page, size)
+    anomalies = [r for r in whole if r.is_anomaly == 1]
+    assert text(paging.page_of_records(df, 2, 70, "anomaly", order, wide_rows=0).collect()) == text(anomalies[70:140])
+
+
+def test_copies_across_the_end_of_a_wide_page(spark):
+    df = spark.range(500).selectExpr("5L as line_no", "0 as is_anomaly", "if(id < 480, 0, id) as x").repartition(4)
+    pages = [paging.page_of_records(df, p, 150, wide_rows=0) for p in (1, 2, 3, 4, 5)]
+    assert [p.count() for p in pages] == [150, 150, 150, 50, 0]
+    got = pages[0].unionByName(pages[1]).unionByName(pages[2]).unionByName(pages[3])
+    assert got.exceptAll(df).count() == 0 and df.exceptAll(got).count() == 0
+
+
+def test_a_wide_page_has_no_task_for_all_its_rows(spark):
+    df = spark.range(60_000).selectExpr("id % 500 as line_no", "0 as is_anomaly", "id").repartition(4)
+    page = paging.page_of_records(df, 2, 20_000)
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "SinglePartition" not in plan
+    rows = page.collect()
+    assert [r.line_no for r in rows] == sorted(r.line_no for r in rows)
+    assert len(rows) == 20_000 and (rows[0].line_no, rows[-1].line_no) == (166, 333)

@@ -5,28 +5,34 @@ from pyspark.sql import functions as F
 
 from vigilog.operators.labels import hit_tag, label_filter
 from vigilog.operators.quantiles import value_at_rank
-from vigilog.storage import materialize
+from vigilog.storage import materialize, scratch
 
 # Up to here a top-k with offset is cheaper than looking the start row up.
 SHALLOW_ROWS = 100_000
+# Up to here a page is a top-k, which ends in one task that reads so many rows of every partition.
+WIDE_ROWS = 10_000
 
 
 def page_of_records(
     df: DataFrame, page: int = 1, per_page: int = 50, which: str = "all",
-    order_col: str | list[str] = "line_no", shallow_rows: int = SHALLOW_ROWS,
+    order_col: str | list[str] = "line_no", shallow_rows: int = SHALLOW_ROWS, wide_rows: int = WIDE_ROWS,
 ) -> DataFrame:
     """Page ``page`` (from 1) of the entries in file order.
 
     ``order_col`` is a column or several, such as file and line number. Ties are ordered
     by a hash of the whole row, so that every row is on exactly one page. A deep page
     first finds the order values of its first row by counting, then reads only rows from
-    there on; it does not sort the rows before it. Both ways give the same rows.
+    there on; it does not sort the rows before it. A page of more than ``wide_rows`` rows
+    looks up both its ends and is a filter between them, ordered by ranges in many tasks.
+    All ways give the same rows.
     """
     if page < 1 or per_page < 1:
         raise ValueError("page and per_page start at 1")
     columns = [order_col] if isinstance(order_col, str) else list(order_col)
     rows = label_filter(df, which)
     skip = (page - 1) * per_page
+    if per_page > wide_rows:
+        return _between_ranks(rows, columns, skip, skip + per_page)
     if skip > shallow_rows:
         found = _from_rank(rows, columns, skip, shallow_rows)
         if found is None:
@@ -41,20 +47,14 @@ def _from_rank(rows: DataFrame, columns: list[str], rank: int, enough: int) -> t
     Where more than ``enough`` rows tie in a column before the wanted one, the next column decides.
     """
     name, x = columns[0], F.col(columns[0])
-    nulls = rows.where(x.isNull()).count()
-    if rank < nulls:
-        value, below, here = None, 0, x.isNull()
+    found = _value_at(rows, name, rank)
+    if found is None:
+        return None
+    value, below = found
+    if value is None:
+        here = x.isNull()
         after = here | x.isNotNull()
     else:
-        kind = dict(rows.select(name).dtypes)[name]
-        if kind in ("tinyint", "smallint", "int", "bigint"):
-            value = value_at_rank(rows, name, rank - nulls)
-            below = nulls + rows.where(x < value).count() if value is not None else 0
-        else:
-            value, below = _value_by_ranges(rows, name, rank - nulls)
-            below += nulls
-        if value is None:
-            return None
         here, after = x == F.lit(value), x >= F.lit(value)
     if rank - below > enough and len(columns) > 1:
         inner = _from_rank(rows.where(here), columns[1:], rank - below, enough)
@@ -63,6 +63,104 @@ def _from_rank(rows: DataFrame, columns: list[str], rank: int, enough: int) -> t
     return after, rank - below
 
 
+def _is_whole(rows: DataFrame, name: str) -> bool:
+    return dict(rows.select(name).dtypes)[name] in ("tinyint", "smallint", "int", "bigint")
+
+
+def _value_at(rows: DataFrame, name: str, rank: int) -> tuple[object, int] | None:
+    """The value at a 0-based rank of a column, nulls first, and how many rows lie below it; None beyond the end."""
+    x = F.col(name)
+    nulls = rows.where(x.isNull()).count()
+    if rank < nulls:
+        return None, 0
+    if _is_whole(rows, name):
+        value = value_at_rank(rows, name, rank - nulls)
+        below = rows.where(x < value).count() if value is not None else 0
+    else:
+        value, below = _value_by_ranges(rows, name, rank - nulls)
+    return None if value is None else (value, nulls + below)
+
+
+def _between_ranks(rows: DataFrame, columns: list[str], start: int, end: int) -> DataFrame:
+    """The rows of 0-based ranks ``start`` to ``end`` - 1 in the order of a page, in as many tasks as they ask for.
+
+    Rows that tie in the whole order at an end are copies, but for equal hashes; only these are numbered,
+    to leave the right number of them out.
+    """
+    tie, at = _unused("_tie", rows), _unused("_at", rows)
+    keys, keyed = [*columns, tie], rows.withColumn(tie, F.xxhash64(*rows.columns))
+    with scratch(rows.sparkSession):
+        first, last = _place(keyed, keys, start) if start else ([], 0), _place(keyed, keys, end)
+    if first is None:
+        return rows.limit(0)
+    low, skipped = first
+    high, taken = last or ([], 0)
+    if low and low == high:
+        kept = _slice(keyed.where(_equals(keys, low)), at, skipped, taken)
+    else:
+        kept = keyed
+        if low:
+            kept = kept.where(_follows(keys, low, ties=not skipped))
+        if high:
+            kept = kept.where(~_follows(keys, high, ties=True))
+        if skipped:
+            kept = kept.unionByName(_slice(keyed.where(_equals(keys, low)), at, skipped, None))
+        if taken:
+            kept = kept.unionByName(_slice(keyed.where(_equals(keys, high)), at, 0, taken))
+    # Copies differ in the last column, so that many of one row are no single range.
+    return kept.orderBy(*keys, F.monotonically_increasing_id()).select(*rows.columns)
+
+
+def _unused(name: str, df: DataFrame) -> str:
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _place(rows: DataFrame, columns: list[str], rank: int) -> tuple[list, int] | None:
+    """The order values of the row at a 0-based rank, and how many rows with the same values come before it; None beyond the end.
+
+    A first column of whole numbers is settled by counting; the other columns go by ranges, and only those of
+    the rows that tie in the first.
+    """
+    settled = []
+    if len(columns) > 1 and _is_whole(rows, columns[0]):
+        found = _value_at(rows, columns[0], rank)
+        if found is None:
+            return None
+        settled, rank = [found[0]], rank - found[1]
+        rows, columns = rows.where(_equals(columns, settled)), columns[1:]
+    value, below = _value_by_ranges(rows.select(F.struct(*columns).alias("v")), "v", rank)
+    return None if value is None else ([*settled, *value], rank - below)
+
+
+def _equals(columns: list[str], values: list) -> Column:
+    """Rows with these values in the first columns; null equals null."""
+    same = F.lit(True)
+    for c, v in zip(columns, values):
+        same = same & (F.col(c).isNull() if v is None else F.coalesce(F.col(c) == F.lit(v), F.lit(False)))
+    return same
+
+
+def _follows(columns: list[str], values: list, ties: bool) -> Column:
+    """Rows after these values, or with them too (``ties``), in the order of the columns, nulls first; never null."""
+    after = F.lit(ties)
+    for c, v in reversed(list(zip(columns, values))):
+        beyond = F.col(c).isNotNull() if v is None else F.coalesce(F.col(c) > F.lit(v), F.lit(False))
+        after = beyond | (_equals([c], [v]) & after)
+    return after
+
+
+def _slice(tied: DataFrame, at: str, start: int, end: int | None) -> DataFrame:
+    """Rows ``start`` to ``end`` - 1 of some in the order they lie in, counted and not gathered."""
+    stored = materialize(tied.withColumn(at, F.monotonically_increasing_id()), "ties")
+    kept = stored.where(F.col(at) >= value_at_rank(stored, at, start))
+    if end is not None:
+        kept = kept.where(F.col(at) < value_at_rank(stored, at, end))
+    return kept.drop(at)
+
+
 def _value_by_ranges(rows: DataFrame, name: str, rank: int) -> tuple[object, int]:
     """The value at a 0-based rank of a column of any order, nulls left out, and how many rows lie below it.
 
