@@ -1,3 +1,8 @@
+import tracemalloc
+import types
+
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,3 +143,29 @@ def test_a_repeat_by_the_broker_is_known_by_its_offset(spark):
     once = alerts.sent_once(spark.readStream.schema(shape).parquet(inbox), "1 hour", key)
     once.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(out).count() == 10
+
+
+@pytest.mark.parametrize("before", [0, 3])
+def test_window_figures_take_little_more_than_the_rows(before):
+    """Figures of 300,000 rows of one stream, in slices as over the whole, within three times the memory of the rows."""
+    n, names = 300_000, ["line_no", "cpu_max_pct", "mem_used_pct", "score", "history", *baseline.FIGURES]
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame({"line_no": rng.permutation(n), "cpu_max_pct": rng.random(n), "mem_used_pct": rng.random(n), "score": rng.random(n)})
+    rows.loc[rng.integers(0, n, 50), "mem_used_pct"] = np.nan
+    past = rng.random((2, before)).tolist()
+    state = types.SimpleNamespace(get=lambda: iter(list(zip(*past))), put=lambda readings: kept.extend(readings))
+    kept, sizes, checked = [], [], 0
+    want, cpu, mem = baseline.with_figures(rows.sort_values("line_no").reset_index(drop=True), *past, 20)
+    want = want[names]
+    operator = baseline.LastReadings("line_no", names, 20, None)
+    operator.init(types.SimpleNamespace(getListState=lambda *_, **__: state))
+    tracemalloc.start()
+    for part in operator.handleInputRows(("h",), (rows.iloc[i : i + 10_000] for i in range(0, n, 10_000)), None):
+        assert part.reset_index(drop=True).equals(want.iloc[checked : checked + len(part)].reset_index(drop=True))
+        checked += len(part)
+        sizes.append(len(part))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert checked == n and max(sizes) <= 10_000
+    assert np.array_equal(kept, list(zip(cpu, mem)), equal_nan=True)
+    assert peak < 3 * rows.memory_usage(index=False).sum()

@@ -27,6 +27,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 # With a time to live the operator asks for batches without data for ever, so that a query over what is there never ends.
 EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 FIGURES = ["cpu_mean", "cpu_std", "mem_mean", "mem_std"]
+# Deviations take window times the memory of their rows, so figures are made for so many rows at a time.
+SLICE_ROWS = 10_000
 
 
 def preceding_stats(values: np.ndarray, before: int, window: int) -> tuple:
@@ -60,6 +62,25 @@ def with_figures(new: pd.DataFrame, cpu: list[float], mem: list[float], window:
     return new, *kept
 
 
+def figures_in_slices(
+    chunks: Iterator[pd.DataFrame], order_col: str, cpu: list[float], mem: list[float], window: int, names: list[str],
+) -> Iterator[tuple[pd.DataFrame, list[float], list[float]]]:
+    """One stream's rows of a batch in order, a slice at a time: its columns ``names`` and the readings to keep after it.
+
+    The rows are held once, column by column; what is computed is held for one slice only.
+    """
+    parts: dict[str, list[pd.Series]] = {}
+    for chunk in chunks:
+        for column in chunk.columns:
+            parts.setdefault(column, []).append(chunk[column].copy())
+    whole = {column: pd.concat(parts.pop(column), ignore_index=True) for column in list(parts)}
+    order = whole[order_col].sort_values().index.to_numpy()
+    for at in range(0, len(order), SLICE_ROWS):
+        rows = order[at : at + SLICE_ROWS]
+        new, cpu, mem = with_figures(pd.DataFrame({c: v.iloc[rows] for c, v in whole.items()}), cpu, mem, window)
+        yield new[names], cpu, mem
+
+
 def _figured(rows: DataFrame) -> T.StructType:
     figures = [T.StructField("history", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in FIGURES]]
     return T.StructType(rows.schema.fields + figures)
@@ -83,10 +104,10 @@ class LastReadings(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         past = list(self.last.get())
-        new = pd.concat(list(rows)).sort_values(self.order_col)
-        new, cpu, mem = with_figures(new, [r[0] for r in past], [r[1] for r in past], self.window)
+        cpu, mem = [r[0] for r in past], [r[1] for r in past]
+        for new, cpu, mem in figures_in_slices(rows, self.order_col, cpu, mem, self.window, self.names):
+            yield new
         self.last.put(list(zip(cpu, mem)))
-        yield new[self.names]
 
     def close(self) -> None:
         pass
@@ -151,10 +172,10 @@ def keyed_alerts(
     shape = _figured(rows)
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        past = state.get if state.exists else ([], [])
-        new, cpu, mem = with_figures(pd.concat(list(chunks)).sort_values(order_col), past[0], past[1], window)
+        cpu, mem = state.get if state.exists else ([], [])
+        for new, cpu, mem in figures_in_slices(chunks, order_col, cpu, mem, window, shape.names):
+            yield new
         state.update((cpu, mem))
-        yield new[shape.names]
 
     figured = rows.groupBy(stream_key).applyInPandasWithState(
         step, shape, "cpu array<double>, mem array<double>", "append", GroupStateTimeout.NoTimeout
