@@ -1068,13 +1068,18 @@ def a10_rates(spark, sf):
     return found.select("rows", "batches", (F.col("rows_per_second") > 0).alias("rated"))
 
 
+# Bytes of a row group: what a task can read of a file, so that a batch of one file is read by several.
+ROW_GROUP = 1 << 20
+
+
 def replayed(spark, sf, batches: int = 124):
     """The lines as so many files, one a batch, with a restart half way: entries, counts and number of batches."""
     inbox, out, progress = (scratch_path(spark, x) for x in ("inbox", "alerts", "alerts-progress"))
     lines = log_lines(spark, sf).select("line_no", "value").withColumn("half", F.col("line_no") % 2)
     for half in (0, 1):
         part = lines.where(F.col("half") == half).drop("half")
-        part.repartition(batches // 2, "line_no").sortWithinPartitions("line_no").write.mode("append").parquet(inbox)
+        files = part.repartition(batches // 2, "line_no").sortWithinPartitions("line_no").write.mode("append")
+        files.option("parquet.block.size", ROW_GROUP).parquet(inbox)
         sent = envelopes(replay.replay_lines(spark, inbox, max_files=1))
         alert_stream.run_alerts(sent, out, progress).awaitTermination()
     counts = alert_stream.counts_path(progress)

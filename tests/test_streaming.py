@@ -169,3 +169,16 @@ def test_window_figures_take_little_more_than_the_rows(before):
     assert checked == n and max(sizes) <= 10_000
     assert np.array_equal(kept, list(zip(cpu, mem)), equal_nan=True)
     assert peak < 3 * rows.memory_usage(index=False).sum()
+
+
+def test_a_batch_of_one_file_is_parsed_by_all_cores(spark, table):
+    """Lines that lie in one file are dealt out before they are parsed, and each is stored once."""
+    from checks.queries import envelopes, log_lines
+
+    inbox, out, progress = (scratch_path(spark, x) for x in ("one", "out", "progress"))
+    log_lines(spark, SF).select("line_no", "value").coalesce(1).write.parquet(inbox)
+    alerts.run_alerts(envelopes(replay_lines(spark, inbox, max_files=1)), out, progress).awaitTermination()
+    found = spark.read.parquet(out)
+    files = [f for f in found.inputFiles() if "is_anomaly=0" in f]
+    assert len(files) == spark.sparkContext.defaultParallelism
+    assert sorted(r[0] for r in found.select("kafka_offset").collect()) == sorted(r[0] for r in table.select("line_no").collect())

@@ -30,7 +30,9 @@ def run_alerts(
 ) -> StreamingQuery:
     """Write every entry, alerts and OK entries in separate folders, and count every batch.
 
-    Without a key or an aggregate the job has no shuffle and no state. Entries go to
+    Without a key or an aggregate the job has no state. A batch of fewer partitions than the
+    cluster has cores, such as one file, is dealt out to all of them before its lines are parsed;
+    any other is not shuffled. Entries go to
     ``out/batch=n/is_anomaly=x``; a row of counts goes to ``counts/batch=n`` (by default
     beside the checkpoint). A batch that is run again after a failure replaces its own
     folders, so each entry is stored and counted once; for messages that the sender repeats
@@ -49,7 +51,9 @@ def run_alerts(
     def process(batch: DataFrame, batch_id: int) -> None:
         began = time.time()
         seen = Observation()
-        parsed = with_parse(batch, "raw_log").observe(
+        cores = batch.sparkSession.sparkContext.defaultParallelism
+        spread = batch.repartition(cores) if batch.rdd.getNumPartitions() < cores else batch
+        parsed = with_parse(spread, "raw_log").observe(
             seen,
             F.count(F.lit(1)).alias("received"),
             F.count_if(F.col("parse_status") == PARSED).alias("parsed"),
